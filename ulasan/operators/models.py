@@ -56,7 +56,9 @@ def make_classifier(params: TrainParams, n_train: int, features: str = "selected
     penalty = 1.0 / (p.get("C", 1.0) * max(n_train, 1))
     steps = p.get("max_iter", 1000)
     if kind == "svm":
-        return LinearSVC(regParam=penalty, maxIter=steps, standardization=False, **columns)
+        return LinearSVC(
+            regParam=penalty, maxIter=steps, tol=p.get("tol", 1e-4), standardization=False, **columns
+        )
     return LogisticRegression(
         regParam=penalty, elasticNetParam=0.0, maxIter=steps, standardization=False, **columns
     )
@@ -77,7 +79,7 @@ def cross_validate(train: DataFrame, params: TrainParams = DEFAULTS, key: str =
     sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
     total = sum(sizes.values())
 
-    @inheritable_thread_target
+    @inheritable_thread_target(train.sparkSession)
     def one(i: int):
         fit_on, held = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
         model = make_classifier(params, total - sizes.get(i, 0)).fit(fit_on)
@@ -166,7 +168,7 @@ def evaluate(trained: TrainedClassifier) -> DataFrame:
     """Accuracy, weighted scores, matrix cells and AUC of the held-out rows, in one row."""
     if trained.test is None:
         raise ValueError("no held-out rows")
-    scored = predict(trained.model, trained.test).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = predict(trained.model, trained.test)
     one = F.lit(1)
     main = metrics.evaluation(scored, "sentimen", "prediction").withColumn("_one", one)
     auc = metrics.roc_auc(

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ulasan.functions.text import label_name
@@ -127,6 +127,10 @@ def _search_broadcast(index, vec, rows, k, normalize, l2) -> DataFrame:
     return index.select("vec_id", vec).mapInArrow(scan, HITS)
 
 
+def _upto(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
 def _search_blocks(index, vec, queries, qvec, k, normalize, l2, block) -> DataFrame:
     """Both sides in hash blocks; every query block meets every index block in its own task."""
     nq = max(1, math.ceil(queries.count() / block))
@@ -136,13 +140,13 @@ def _search_blocks(index, vec, queries, qvec, k, normalize, l2, block) -> DataFr
         F.col("query_id").alias("id"),
         F.col(qvec).cast("array<double>").alias("v"),
         F.pmod(F.xxhash64("query_id"), F.lit(nq)).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).cast("long").alias("ib"),
+        F.explode(_upto(ni)).alias("ib"),
     )
     v = index.select(
         F.lit(False).alias("is_query"),
         F.col("vec_id").alias("id"),
         F.col(vec).cast("array<double>").alias("v"),
-        F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).cast("long").alias("qb"),
+        F.explode(_upto(nq)).alias("qb"),
         F.pmod(F.xxhash64("vec_id"), F.lit(ni)).alias("ib"),
     )
 
@@ -169,18 +173,16 @@ def search(
 ) -> DataFrame:
     """Exact top-k rows per query: `query_id, rank, vec_id, similarity` (or `distance` for L2).
 
-    A query set within `max_broadcast_bytes` is sent to all tasks that scan the index, which is
-    then never shuffled. A larger one is met block by block instead. Ties go to the lower `vec_id`;
+    A query set within `max_query_rows` and `max_broadcast_bytes` is sent to all tasks that scan
+    the index, which is then never shuffled. A larger one is met block by block instead. Ties go to the lower `vec_id`;
     `k` is at least one, and a small index gives fewer rows.
     """
     k, l2 = max(1, k), _is_l2(params)
     index = index.filter(F.col(vec).isNotNull())
     queries = queries.select("query_id", qvec).filter(F.col(qvec).isNotNull())
-    first = queries.select(F.size(qvec)).head()
-    dim = first[0] if first else 1
-    bound = max(1, params.max_broadcast_bytes // (8 * max(dim, 1)))
-    rows = queries.limit(bound + 1).collect()
-    if len(rows) <= bound:
+    rows = queries.limit(params.max_query_rows + 1).collect()
+    size = sum(8 * len(r[1]) for r in rows)
+    if len(rows) <= params.max_query_rows and size <= params.max_broadcast_bytes:
         found = _search_broadcast(index, vec, rows, k, params.normalize, l2)
     else:
         found = _search_blocks(
@@ -380,7 +382,7 @@ def near_duplicates(
     # Rows of one hot vector are spread over several join keys.
     salts = 32
     copied = groups.filter(F.col("n") > 1).select(
-        "unit_vec", "rep", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("salt")
+        "unit_vec", "rep", F.explode(_upto(salts)).alias("salt")
     )
     salted = base.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts)))
     nonzero = F.exists("unit_vec", lambda x: x != 0)

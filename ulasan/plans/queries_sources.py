@@ -1 +1,168 @@
-"""Queries."""
+"""Reading and writing: every query stores table data in the shared folder and reads it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ulasan.functions import text as tx
+from ulasan.functions.vector import l2_norm
+from ulasan.operators import prepare as prep
+from ulasan.operators import vectors as vx
+from ulasan.plans import sqltext as s
+from ulasan.plans.catalog import query, rounded
+from ulasan.plans.queries_profile import WITH
+from ulasan.plans.queries_text import SCORED, scored
+from ulasan.session import scratch_path
+from ulasan.settings import CleanRules, IndexParams
+from ulasan.sources import stores
+from ulasan.sources import tables as src
+
+
+@query("s1_load_reviews", WITH + "SELECT row_id, review, sentimen FROM reviews")
+def s1(spark, sf):
+    return src.reviews(spark, sf).select("row_id", "review", "sentimen")
+
+
+@query(
+    "s2_read_csv",
+    "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_index, text AS review, "
+    "CAST(n_chars % 2 AS INTEGER) AS sentimen FROM documents",
+)
+def s2(spark, sf):
+    """Documents written in key order as several CSV files, then read with a running row number."""
+    path = scratch_path(spark, "csv")
+    docs = src.table(spark, sf, "documents").orderBy("doc_id")
+    rows = docs.select(F.col("text").alias("review"), (F.col("n_chars") % 2).alias("sentimen"))
+    stores.write_csv(rows, path)
+    return src.read_reviews_csv(spark, path)
+
+
+@query("s3_required_columns", "SELECT doc_id, length(text) AS n FROM documents")
+def s3(spark, sf):
+    docs = src.table(spark, sf, "documents").withColumnRenamed("text", "review")
+    return src.require_columns(docs, "review").select("doc_id", tx.char_length(F.col("review")).alias("n"))
+
+
+@query(
+    "s4_write_predictions",
+    f"""WITH {SCORED} SELECT d.text AS original_text, {s.clean_full('d.text')} AS clean_text,
+    CASE WHEN predicted = 1 THEN 'Positive' ELSE 'Negative' END AS predicted_sentiment,
+    {s.r6('confidence')} AS confidence, {s.r6('1 - p')} AS negative_probability,
+    {s.r6('p')} AS positive_probability, doc_id AS row_index
+    FROM scored JOIN documents d USING (doc_id)""",
+)
+def s4(spark, sf):
+    docs = src.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
+    rows = prep.with_clean(scored(spark, sf).join(docs, "doc_id"))
+    rows = rows.select(
+        "review",
+        "review_clean",
+        tx.label_name(F.col("predicted")).alias("sentiment"),
+        "confidence",
+        F.struct((1 - F.col("p")).alias("negative"), F.col("p").alias("positive")).alias("probabilities"),
+        F.col("doc_id").alias("row_index"),
+    )
+    path = stores.write_predictions(rows, scratch_path(spark, "predictions"))
+    schema = stores.prediction_rows(rows).schema
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    return rounded(spark.read.options(**options).schema(schema).csv(path))
+
+
+@query(
+    "s5_write_sample",
+    WITH
+    + "SELECT review, sentimen FROM "
+    + s.lowest(
+        "reviews",
+        "row_id",
+        "(CASE WHEN (SELECT count(*) FROM reviews) <= 100 THEN group_n ELSE "
+        "least(group_n, 100 // (SELECT count(DISTINCT sentimen) FROM reviews)) END)",
+        "sentimen",
+    )
+    + " WHERE taken",
+)
+def s5(spark, sf):
+    path = scratch_path(spark, "sample")
+    stores.write_sample(src.reviews(spark, sf).drop("toxic"), path, 100)
+    return src.read_reviews_csv(spark, path).drop("row_index")
+
+
+@query(
+    "s6_save_vectors",
+    f"SELECT vec_id, len(embedding) AS dimension, {s.r6('sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))')} "
+    "AS norm FROM embeddings",
+)
+def s6(spark, sf):
+    path = scratch_path(spark, "vectors")
+    stores.save_vectors(src.table(spark, sf, "embeddings"), path)
+    loaded = stores.load_vectors(spark, path)
+    return rounded(
+        loaded.select("vec_id", F.size("embedding").alias("dimension"), l2_norm(F.col("embedding")).alias("norm"))
+    )
+
+
+@query(
+    "s7_load_vectors",
+    f"SELECT vec_id, pos, {s.r6('x')} AS x FROM (SELECT vec_id, unnest(range(len(embedding))) AS pos, "
+    "unnest(embedding::DOUBLE[]) AS x FROM embeddings)",
+)
+def s7(spark, sf):
+    path = scratch_path(spark, "vectors")
+    stores.save_vectors(src.table(spark, sf, "embeddings"), path)
+    return rounded(stores.load_vectors(spark, path).select("vec_id", F.posexplode("embedding").alias("pos", "x")))
+
+
+def _saved_index(spark, sf):
+    path = scratch_path(spark, "index")
+    stores.save_index(vx.build_index(src.vectors(spark, sf)), path, IndexParams())
+    return stores.load_index(spark, path)
+
+
+@query(
+    "s8_save_index",
+    f"WITH {s.UNIT} SELECT count(*) AS n_vectors, max(len(u)) AS dimension, 'inner_product' AS index_type, "
+    "TRUE AS normalized FROM unit",
+)
+def s8(spark, sf):
+    index, params = _saved_index(spark, sf)
+    return rounded(
+        index.agg(
+            F.count("*").alias("n_vectors"),
+            F.max(F.size("unit_vec")).alias("dimension"),
+            F.lit(params.index_type).alias("index_type"),
+            F.lit(params.normalize).alias("normalized"),
+        )
+    )
+
+
+@query(
+    "s9_load_index",
+    f"WITH {s.UNIT} SELECT vec_id, label, sentimen, {s.r6('u[1]')} AS first_value, "
+    f"{s.r6('list_sum(u)')} AS total FROM unit",
+)
+def s9(spark, sf):
+    index, _ = _saved_index(spark, sf)
+    u = F.col("unit_vec").cast("array<double>")
+    total = F.aggregate(u, F.lit(0.0), lambda a, x: a + x)
+    return index.select(
+        "vec_id",
+        "label",
+        "sentimen",
+        (F.round(u[0], 6) + F.lit(0.0)).alias("first_value"),
+        (F.round(total, 6) + F.lit(0.0)).alias("total"),
+    )
+
+
+@query(
+    "s14_settings_round_trip",
+    f"WITH c AS (SELECT doc_id, {s.stopwords(s.clean_basic('text'))} AS review_clean FROM "
+    "(SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)) "
+    "SELECT doc_id, review_clean FROM c WHERE length(review_clean) > 100",
+)
+def s14(spark, sf):
+    """Stored cleaning settings, loaded over the defaults, drive the preparation of all documents."""
+    path = scratch_path(spark, "settings")
+    stores.save_settings(spark, CleanRules(profile="basic", remove_stopwords=True, min_len=100), path)
+    rules = stores.load_settings(spark, path)
+    docs = src.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
+    return prep.prepare(docs, rules, row_id="doc_id").select("doc_id", "review_clean")

@@ -51,22 +51,20 @@ DEDUPED = (
 )
 
 
-def documents(spark, sf, text=None):
-    docs = table(spark, sf, "documents")
-    return docs.select("doc_id", (F.col("text") if text is None else text).alias("text"))
+def documents(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
-def over_documents(name, column, sql, text=None, sql_text="text"):
-    """Register one text expression applied to every whole document."""
+def over_documents(name, column, sql, before="", after=""):
+    """Register one text expression applied to every whole document, set between two phrases."""
 
-    @query(name, f"SELECT doc_id, {sql('t')} AS result FROM (SELECT doc_id, {sql_text} AS t FROM documents)")
+    @query(
+        name,
+        f"SELECT doc_id, {sql('t')} AS result FROM (SELECT doc_id, '{before}' || text || '{after}' AS t FROM documents)",
+    )
     def run(spark, sf):
-        docs = documents(spark, sf, text)
-        return docs.select("doc_id", column(F.col("text")).alias("result"))
-
-
-def _around(before: str, after: str, text="text"):
-    return F.concat(F.lit(before), F.col(text), F.lit(after)), f"'{before}' || {text} || '{after}'"
+        whole = F.concat(F.lit(before), F.col("text"), F.lit(after))
+        return documents(spark, sf).select("doc_id", column(whole).alias("result"))
 
 
 @query(
@@ -82,32 +80,32 @@ over_documents(
     "x3_remove_urls",
     tx.remove_urls,
     s.urls,
-    *_around("see https://a.example/x?y=1~keep#keep and http://b.example ", " http://c.example/~u"),
+    "see https://a.example/x?y=1~keep#keep and http://b.example ", " http://c.example/~u",
 )
 over_documents(
     "x4_remove_emails",
     tx.remove_emails,
     s.emails,
-    *_around("a@b.example @start end@ x@@y\tz@w ", " last@one.example"),
+    "a@b.example @start end@ x@@y\tz@w ", " last@one.example",
 )
 over_documents("x5_letters_only", tx.letters_only, lambda t: s.repl(t, r"[^a-zA-Z\t\n\f\r\x0b ]", " "))
 over_documents(
     "x6_cap_runs",
     lambda t: tx.cap_runs(F.regexp_replace(F.lower(t), "[^a-z]", " ")),
     lambda t: s.repl(s.caps(s.repl(f"lower({t})", "[^a-z]", " ")), " {3,}", "  "),
-    *_around("bagussss sooo aaab ", " zzzz"),
+    "bagussss sooo aaab ", " zzzz",
 )
 over_documents(
     "x7_collapse_spaces",
     tx.collapse_spaces,
     lambda t: f"trim({s.repl(t, r'[\t\n\f\r\x0b ]+', ' ')})",
-    *_around("  a \t b\n\n", "   "),
+    "  a \t b\n\n", "   ",
 )
 over_documents(
     "x8_slang",
     lambda t: tx.map_slang(tx.collapse_spaces(t)),
     lambda t: s.slang(f"trim({s.repl(t, r'[\t\n\f\r\x0b ]+', ' ')})"),
-    *_around("emg gak bgt gt gitu ", " knp kenapa gaaak Udah"),
+    "emg gak bgt gt gitu ", " knp kenapa gaaak Udah",
 )
 over_documents("x9_char_length", tx.char_length, lambda t: f"length({t})")
 over_documents("x10_word_count", tx.word_count, s.words)
@@ -117,7 +115,7 @@ over_documents(
     "p11_stopwords",
     lambda t: tx.drop_stopwords(tx.clean_basic(t)),
     lambda t: s.stopwords(s.clean_basic(t)),
-    *_around("Yang bagus dan itu ", " para mbak"),
+    "Yang bagus dan itu ", " para mbak",
 )
 over_documents(
     "p12_clean_and_stopwords",
