@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from ulasan.settings import LABEL_NAMES, CleanRules
 
-# Every character that counts as whitespace in an e-mail-like token.
-SPACE_CHARS = (
-    r"\t\n\x0b\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-)
+# Every character that counts as whitespace.
+SPACE_CHARS = r"\x09-\x0d\x1c-\x1f\x85\p{Z}"
 # Fixed value: characters that may follow the scheme of a URL. `$-_` is a range, so "~" and "#"
 # end the URL.
 URL_PATTERN = r"https?://[!$-_a-z]+"
-# A token holding an inner "@" is removed whole. Starting only at token starts keeps the scan
-# linear on very long tokens.
-EMAIL_PATTERN = rf"(?<![^{SPACE_CHARS}])[^{SPACE_CHARS}]+@[^{SPACE_CHARS}]+"
+# A token holding an inner "@" is removed whole. Starting only at token starts, and never giving
+# characters back, keeps the scan linear on very long tokens.
+EMAIL_PATTERN = (
+    rf"(?<![^{SPACE_CHARS}])[^{SPACE_CHARS}][^{SPACE_CHARS}@]*+@[^{SPACE_CHARS}]++"
+)
 
 DEFAULT = CleanRules()
 
@@ -25,10 +25,10 @@ def remove_urls(text: Column) -> Column:
     return F.regexp_replace(text, URL_PATTERN, "")
 
 
-def remove_emails(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL_PATTERN, "")).otherwise(
-        text
-    )
+def remove_emails(text: Column, source: Column | None = None) -> Column:
+    """`source` is a plain column that holds "@" whenever `text` does; it spares most rows the scan."""
+    has_at = F.contains(text if source is None else source, F.lit("@"))
+    return F.when(has_at, F.regexp_replace(text, EMAIL_PATTERN, "")).otherwise(text)
 
 
 def letters_only(text: Column, special_chars: str = DEFAULT.special_chars) -> Column:
@@ -44,53 +44,47 @@ def collapse_spaces(text: Column, extra_whitespace: str = DEFAULT.extra_whitespa
     return F.trim(F.regexp_replace(text, extra_whitespace, " "))
 
 
-def map_slang(text: Column, slang: dict[str, str] = DEFAULT.slang) -> Column:
-    """Replace each informal token once. Texts without one skip the token loop."""
+def map_slang(text: Column, slang: dict[str, str] = DEFAULT.slang, lowered: bool = False) -> Column:
+    """Replace each informal token once. `lowered` says the text is in lower case already."""
     if not slang:
         return text
+    keys = list(slang)
     words = F.create_map(*[F.lit(w) for pair in slang.items() for w in pair])
-    mapped = F.array_join(
-        F.transform(F.split(text, " "), lambda t: F.coalesce(F.element_at(words, F.lower(t)), t)),
-        " ",
-    )
-    present = "(?i)(?:^| )(?:" + "|".join(sorted(slang)) + ")(?: |$)"
-    return F.when(F.rlike(text, F.lit(present)), mapped).otherwise(text)
+
+    def standard(token: Column) -> Column:
+        key = token if lowered else F.lower(token)
+        return F.when(key.isin(keys), F.element_at(words, key)).otherwise(token)
+
+    return F.array_join(F.transform(F.split(text, " "), standard), " ")
 
 
 def drop_stopwords(text: Column, stopwords=DEFAULT.stopwords) -> Column:
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    kept = F.filter(
-        F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "),
-        lambda t: ~F.array_contains(stop, F.lower(t)),
-    )
-    return F.array_join(kept, " ")
+    tokens = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
+    return F.array_join(F.filter(tokens, lambda t: ~F.lower(t).isin(list(stopwords))), " ")
 
 
-def _cap_and_space(text: Column, rules: CleanRules) -> Column:
+def _letters_and_spaces(text: Column, rules: CleanRules, between=lambda t: t) -> Column:
+    """Non-letters to spaces, then `between`, then single spaces."""
     if (rules.special_chars, rules.extra_whitespace) == (
         DEFAULT.special_chars,
         DEFAULT.extra_whitespace,
     ):
         # The default patterns leave letters and spaces only, so one pass does both.
-        return F.trim(cap_runs(F.regexp_replace(text, "[^a-zA-Z]+", " ")))
-    return collapse_spaces(
-        cap_runs(letters_only(text, rules.special_chars)), rules.extra_whitespace
-    )
+        return F.trim(between(F.regexp_replace(text, "[^a-zA-Z]+", " ")))
+    return collapse_spaces(between(letters_only(text, rules.special_chars)), rules.extra_whitespace)
 
 
 def clean_full(text: Column, rules: CleanRules = DEFAULT) -> Column:
     t = F.coalesce(text, F.lit(""))
     if rules.lowercase:
         t = F.lower(t)
-    t = remove_emails(remove_urls(t))
-    return map_slang(_cap_and_space(t, rules), rules.slang)
+    t = remove_emails(remove_urls(t), text)
+    return map_slang(_letters_and_spaces(t, rules, cap_runs), rules.slang, rules.lowercase)
 
 
 def clean_basic(text: Column, rules: CleanRules = DEFAULT) -> Column:
     """Letters only, single spaces, lower case; null becomes empty."""
-    t = collapse_spaces(
-        letters_only(F.coalesce(text, F.lit("")), rules.special_chars), rules.extra_whitespace
-    )
+    t = _letters_and_spaces(F.coalesce(text, F.lit("")), rules)
     return F.lower(t)
 
 
@@ -105,8 +99,7 @@ def char_length(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    words = F.filter(F.split(text, rf"[{SPACE_CHARS}]+"), lambda w: w != "")
-    return F.size(words).cast("long")
+    return F.size(F.array_remove(F.split(text, rf"[{SPACE_CHARS}]+"), "")).cast("long")
 
 
 def is_blank(text: Column) -> Column:

@@ -15,6 +15,11 @@ def _sum(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _let(value: Column, body) -> Column:
+    """Compute `value` once and use it in `body`; inside a lambda it would be computed per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def inner_product(a: Column, b: Column) -> Column:
     return _sum(F.zip_with(_d(a), _d(b), lambda x, y: x * y))
 
@@ -25,14 +30,17 @@ def l2_norm(v: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Unit length; a zero vector stays zero."""
-    norm = l2_norm(v)
-    return F.when(norm > 0, F.transform(_d(v), lambda x: x / norm)).otherwise(_d(v))
+    return _let(
+        l2_norm(v), lambda n: F.when(n > 0, F.transform(_d(v), lambda x: x / n)).otherwise(_d(v))
+    )
 
 
 def cosine(a: Column, b: Column) -> Column:
     """Zero when either vector is zero."""
-    scale = l2_norm(a) * l2_norm(b)
-    return F.when(scale > 0, inner_product(a, b) / scale).otherwise(F.lit(0.0))
+    return _let(
+        l2_norm(a) * l2_norm(b),
+        lambda scale: F.when(scale > 0, inner_product(a, b) / scale).otherwise(F.lit(0.0)),
+    )
 
 
 def squared_l2(a: Column, b: Column) -> Column:
@@ -49,5 +57,7 @@ def row_mean(v: Column) -> Column:
 
 def row_std(v: Column) -> Column:
     """Population standard deviation of one vector."""
-    mean = row_mean(v)
-    return F.sqrt(_sum(F.transform(_d(v), lambda x: (x - mean) * (x - mean))) / F.size(v))
+    return _let(
+        row_mean(v),
+        lambda mean: F.sqrt(_sum(F.transform(_d(v), lambda x: (x - mean) * (x - mean))) / F.size(v)),
+    )

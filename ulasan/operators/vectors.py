@@ -107,11 +107,10 @@ def index_statistics(index: DataFrame, params: IndexParams = IndexParams(), labe
 # --- top-k search -----------------------------------------------------------
 
 
-def _search_broadcast(index, vec, rows, k, normalize, l2) -> DataFrame:
+def _search_broadcast(index, vec, rows: pa.Table, k, normalize, l2) -> DataFrame:
     """The bounded query block goes to every task; each task keeps its own k best per query."""
-    qids = np.array([r[0] for r in rows], dtype=np.int64)
-    raw = pa.array([r[1] for r in rows], type=pa.list_(pa.float64()))
-    shared = index.sparkSession.sparkContext.broadcast((qids, kernels.matrix(raw, normalize)))
+    block = (rows.column(0).to_numpy(), kernels.matrix(rows.column(1), normalize))
+    shared = index.sparkSession.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = shared.value
@@ -180,9 +179,8 @@ def search(
     k, l2 = max(1, k), _is_l2(params)
     index = index.filter(F.col(vec).isNotNull())
     queries = queries.select("query_id", qvec).filter(F.col(qvec).isNotNull())
-    rows = queries.limit(params.max_query_rows + 1).collect()
-    size = sum(8 * len(r[1]) for r in rows)
-    if len(rows) <= params.max_query_rows and size <= params.max_broadcast_bytes:
+    rows = queries.limit(params.max_query_rows + 1).toArrow()
+    if rows.num_rows <= params.max_query_rows and rows.nbytes <= params.max_broadcast_bytes:
         found = _search_broadcast(index, vec, rows, k, params.normalize, l2)
     else:
         found = _search_blocks(
@@ -269,9 +267,8 @@ def _place(items: DataFrame, n_upper: int, threshold: float, block: int) -> Data
             F.lit(max(1, math.ceil(n_upper / block))).cast("long").alias("s"),
             F.lit(0).cast("long").alias("t"),
         )
-    chosen = items.orderBy(hash_order("vec_id"), "vec_id").limit(n_pivots).collect()
-    raw = pa.array([r["unit_vec"] for r in chosen], type=pa.list_(pa.float64()))
-    shared = items.sparkSession.sparkContext.broadcast(kernels.matrix(raw, True))
+    chosen = items.select("unit_vec").orderBy(hash_order("vec_id"), "vec_id").limit(n_pivots).toArrow()
+    shared = items.sparkSession.sparkContext.broadcast(kernels.matrix(chosen.column(0), True))
     angle = math.acos(min(1.0, threshold))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,13 +440,11 @@ def pairwise_statistics(index: DataFrame, n: int = 1000, seed: int = 42, key: st
     The sample is a parameter-sized block; each task pairs its part with it and returns one row of
     partial sums, so no pair is ever a row.
     """
-    sample = random_sample(index.select(key, "unit_vec"), n, key, seed).cache()
-    block = sample.select(key, "unit_vec").collect()
-    sample.unpersist()
-    raw = pa.array([r["unit_vec"] for r in block], type=pa.list_(pa.float64()))
-    vecs = kernels.matrix(raw, True) if block else np.zeros((0, 1))
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast(vecs)
+    block = random_sample(index.select(key, "unit_vec"), n, key, seed).select("unit_vec").toArrow()
+    size, spark = block.num_rows, index.sparkSession
+    shared = spark.sparkContext.broadcast(
+        kernels.matrix(block.column(0), True) if size else np.zeros((0, 1))
+    )
     step = 128
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,11 +461,11 @@ def pairwise_statistics(index: DataFrame, n: int = 1000, seed: int = 42, key: st
                         [pa.array(c) for c in cols], ["c", "s", "q", "lo", "hi"]
                     )
 
-    starts = spark.range(0, max(len(block), 1), step)
+    starts = spark.range(0, max(size, 1), step)
     parts = starts.mapInArrow(partial, "c long, s double, q double, lo double, hi double")
     mean = F.sum("s") / F.sum("c")
     return parts.agg(
-        F.lit(len(block)).cast("long").alias("sample_size"),
+        F.lit(size).cast("long").alias("sample_size"),
         F.coalesce(F.sum("c"), F.lit(0)).alias("n_pairs"),
         mean.alias("avg_similarity"),
         F.sqrt(F.greatest(F.sum("q") / F.sum("c") - mean * mean, F.lit(0.0))).alias("std_similarity"),

@@ -42,7 +42,7 @@ def points(spark, sf):
 
 
 def documents(spark, sf):
-    return src.table(spark, sf, "documents").select(
+    return src.table(spark, sf, "documents", "doc_id").select(
         F.col("doc_id").alias("row_index"), F.col("text").alias("review")
     )
 
@@ -55,7 +55,7 @@ CLEANED = f"WITH c AS (SELECT doc_id, {s.clean_full('text')} AS t FROM documents
 
 @query("m1_text_vectors", CLEANED + f"SELECT doc_id, {s.words('t')} AS n_tokens, {s.words('t')} > 0 AS is_unit FROM c")
 def m1(spark, sf):
-    docs = prep.with_clean(src.table(spark, sf, "documents").select("doc_id", "text"), source="text")
+    docs = prep.with_clean(src.table(spark, sf, "documents", "doc_id").select("doc_id", "text"), source="text")
     model = ft.fit_text_encoder(docs)
     out = model.transform(docs)
     n_tokens = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, x: a + x)
@@ -82,7 +82,7 @@ def _load_vowel_counter():
 )
 def m1_user(spark, sf):
     """A user's encoder, loaded once per task; here it counts vowels."""
-    docs = prep.with_clean(src.table(spark, sf, "documents").select("doc_id", "text"), source="text")
+    docs = prep.with_clean(src.table(spark, sf, "documents", "doc_id").select("doc_id", "text"), source="text")
     vecs = ft.encode_with(docs.select("doc_id", "review_clean"), _load_vowel_counter)
     return rounded(vecs.select("doc_id", F.posexplode("embedding").alias("pos", "x")))
 
@@ -369,7 +369,7 @@ def q3_scores(spark, sf):
 )
 def q3_rejects(spark, sf):
     n = F.length("text")
-    rows = src.table(spark, sf, "documents").select(
+    rows = src.table(spark, sf, "documents", "doc_id").select(
         F.col("doc_id").alias("row_index"),
         F.when(n < 300, F.col("lang")).when(n < 400, None).otherwise(F.col("text")).alias("review"),
     )

@@ -88,7 +88,7 @@ def a3(spark, sf):
 
 @query("a3_text_statistics_documents", _text_statistics_sql("text", "documents"))
 def a3_documents(spark, sf):
-    return rounded(pf.text_statistics(table(spark, sf, "documents").select("text"), "text"))
+    return rounded(pf.text_statistics(table(spark, sf, "documents", "doc_id").select("text"), "text"))
 
 
 @query(
@@ -314,7 +314,7 @@ def a16(spark, sf):
     FROM c""",
 )
 def a17(spark, sf):
-    return rounded(pf.corpus_report(prep.with_clean(reviews(spark, sf))))
+    return rounded(pf.corpus_report(prep.with_clean(reviews(spark, sf, True))))
 
 
 @query(

@@ -52,7 +52,7 @@ def s3(spark, sf):
     FROM scored JOIN documents d USING (doc_id)""",
 )
 def s4(spark, sf):
-    docs = src.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
+    docs = src.table(spark, sf, "documents", "doc_id").select("doc_id", F.col("text").alias("review"))
     rows = prep.with_clean(scored(spark, sf).join(docs, "doc_id"))
     rows = rows.select(
         "review",
@@ -164,5 +164,5 @@ def s14(spark, sf):
     path = scratch_path(spark, "settings")
     stores.save_settings(spark, CleanRules(profile="basic", remove_stopwords=True, min_len=100), path)
     rules = stores.load_settings(spark, path)
-    docs = src.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
+    docs = src.table(spark, sf, "documents", "doc_id").select("doc_id", F.col("text").alias("review"))
     return prep.prepare(docs, rules, row_id="doc_id").select("doc_id", "review_clean")

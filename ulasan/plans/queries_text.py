@@ -52,7 +52,7 @@ DEDUPED = (
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return table(spark, sf, "documents", "doc_id").select("doc_id", "text")
 
 
 def over_documents(name, column, sql, before="", after=""):
@@ -248,7 +248,7 @@ SHORTENED = (
 
 
 def shortened(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf, "documents", "doc_id").select("doc_id", "text", "lang")
     labels = table(spark, sf, "labels")
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"),

@@ -23,19 +23,32 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one split per core, by a hash of `key`.
+
+    A large table has more splits than cores and is left alone, so it is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def load_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, spread_by: str | None = None
+) -> DataFrame:
     """One Parquet dataset; a path that cannot be read raises."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    return spread(df, spread_by) if spread_by else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return load_table(spark, f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    return load_table(spark, f"{sf_dir}/{name}.parquet", spread_by=spread_by)
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled reviews: documents joined with their labels."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+def reviews(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    """Labelled reviews: documents joined with their labels. `spread_out` suits costly text work."""
+    key = "doc_id" if spread_out else None
+    docs = table(spark, sf_dir, "documents", key).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"),
