@@ -40,8 +40,16 @@ def prediction_rows(scored: DataFrame) -> DataFrame:
     )
 
 
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_predictions(scored: DataFrame, path: str) -> str:
