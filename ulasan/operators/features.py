@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ulasan.operators.ranking import beside
 from ulasan.operators.sampling import random_sample
 
 
@@ -116,13 +117,11 @@ def selected_indices(scores: DataFrame, k: int | None) -> list[int]:
 
 def selection_report(scores: DataFrame, k: int | None) -> DataFrame:
     """Dimensions before and after, percent removed, and the smallest selected F."""
-    before = scores.agg(F.count("*").alias("n_before")).withColumn("_one", F.lit(1))
-    after = (
-        select_k_best(scores, k)
-        .agg(F.count("*").alias("n_after"), F.min("f_score").alias("f_threshold"))
-        .withColumn("_one", F.lit(1))
+    before = scores.agg(F.count("*").alias("n_before"))
+    after = select_k_best(scores, k).agg(
+        F.count("*").alias("n_after"), F.min("f_score").alias("f_threshold")
     )
-    return before.join(after, "_one").select(
+    return beside(before, after).select(
         "n_before",
         "n_after",
         ((F.col("n_before") - F.col("n_after")) * 100.0 / F.col("n_before")).alias("pct_removed"),

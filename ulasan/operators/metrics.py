@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ulasan.functions.text import label_name
 from ulasan.operators.ranking import running_sums
+from ulasan.session import stored
 
 LABELS = (0, 1)
 
@@ -115,13 +116,14 @@ def classification_report(
 def roc_auc(scored: DataFrame, actual: str = "actual", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve; null with one class only.
 
-    Equal scores are merged first. The count of negatives below each score comes from bucketed
-    running sums, so nearly distinct scores do not meet in one task.
+    Equal scores are merged first and stored, so the rows are scored once. The count of negatives
+    below each score comes from bucketed running sums, so nearly distinct scores do not meet in one
+    task.
     """
     by_score = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
     )
-    below = running_sums(by_score, "score", ["neg"])
+    below = running_sums(stored(by_score, "scores"), "score", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return below.agg(F.when(pairs > 0, wins / pairs).alias("auc"))

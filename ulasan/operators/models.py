@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ulasan.functions.text import label_name
 from ulasan.operators import features as ft
 from ulasan.operators import metrics
+from ulasan.operators.ranking import beside
 from ulasan.operators.sampling import folds, train_test_split
 from ulasan.settings import TrainParams
 
@@ -169,14 +170,13 @@ def evaluate(trained: TrainedClassifier) -> DataFrame:
     if trained.test is None:
         raise ValueError("no held-out rows")
     scored = predict(trained.model, trained.test)
-    one = F.lit(1)
-    main = metrics.evaluation(scored, "sentimen", "prediction").withColumn("_one", one)
+    main = metrics.evaluation(scored, "sentimen", "prediction")
     auc = metrics.roc_auc(
         scored.withColumn("score", F.col("probabilities.positive")).filter(F.col("score").isNotNull()),
         "sentimen",
         "score",
-    ).withColumn("_one", one)
-    return main.join(auc, "_one").drop("_one")
+    )
+    return beside(main, auc)
 
 
 def feature_importance(trained: TrainedClassifier, top_k: int = 20) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ulasan.functions import text as tx
 from ulasan.functions.vector import l2_norm, row_mean, row_std
-from ulasan.operators.ranking import exact_percentiles
+from ulasan.operators.ranking import beside, exact_percentiles, per_group_rows
 
 
 def _share(n: Column, total: Column) -> Column:
@@ -20,10 +20,22 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
+def _length_figures() -> dict[str, Column]:
+    """Length statistics over rows of `(_len, _n)`."""
+    n, length = F.col("_n"), F.col("_len")
+    return {
+        "mean_length": F.sum(length * n) / F.sum(F.when(length.isNotNull(), n)),
+        "median_length": F.percentile("_len", F.lit(0.5), n),
+        "min_length": F.min("_len").cast("long"),
+        "max_length": F.max("_len").cast("long"),
+    }
+
+
 def dataset_info(df: DataFrame, label: str = "sentimen", text: str = "review") -> DataFrame:
     """One row per label: its count and share of all rows, with table totals and length statistics.
 
-    Rows are first merged to (label, length, nulls in the row), so the text is read once.
+    Rows are first merged to (label, length, nulls in the row). The total is one more row of the
+    same roll-up, so the text is read once.
     """
     nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
     cells = (
@@ -31,34 +43,64 @@ def dataset_info(df: DataFrame, label: str = "sentimen", text: str = "review") -
         .groupBy("label", "_len", "_nulls")
         .agg(F.count("*").alias("_n"))
     )
-    known = F.when(F.col("_len").isNotNull(), F.col("_n"))
-    totals = cells.agg(
-        F.sum("_n").alias("n_rows"),
-        F.sum(F.col("_nulls") * F.col("_n")).alias("n_missing"),
-        (F.sum(F.col("_len") * F.col("_n")) / F.sum(known)).alias("mean_length"),
-        F.percentile("_len", F.lit(0.5), F.col("_n")).alias("median_length"),
-        F.min("_len").cast("long").alias("min_length"),
-        F.max("_len").cast("long").alias("max_length"),
+    figures = {"n_missing": F.sum(F.col("_nulls") * F.col("_n")), **_length_figures()}
+    rows = cells.rollup("label").agg(
+        F.grouping_id().alias("_total"),
+        F.sum("_n").alias("n"),
+        *[c.alias(name) for name, c in figures.items()],
     )
-    labels = (
-        cells.filter(F.col("label").isNotNull()).groupBy("label").agg(F.sum("_n").alias("n"))
+    everything = Window.partitionBy(F.lit(1))
+
+    def of_table(name: str) -> Column:
+        return F.max(F.when(F.col("_total") == 1, F.col(name))).over(everything)
+
+    spread = rows.select(
+        "_total", "label", "n", of_table("n").alias("n_rows"), *[of_table(f).alias(f) for f in figures]
     )
-    # One row of totals meets one row per label.
-    joined = labels.withColumn("_one", F.lit(1)).join(totals.withColumn("_one", F.lit(1)), "_one")
-    return joined.select(
+    return spread.filter((F.col("_total") == 0) & F.col("label").isNotNull()).select(
         "label",
         tx.label_name(F.col("label")).alias("label_name"),
         "n",
         _share(F.col("n"), F.col("n_rows")).alias("pct"),
         "n_rows",
-        "n_missing",
-        "mean_length",
-        "median_length",
-        "min_length",
-        "max_length",
+        *figures,
     )
 
 
+def dataset_statistics(df: DataFrame, label: str = "sentimen", text: str = "review") -> DataFrame:
+    """`(metric, item, value)` rows: totals, nulls per column, label counts, length statistics.
+
+    All parts come from one roll-up of row counts per (label, length, null pattern).
+    """
+    flags = [F.col(c).isNull().cast("int").alias(f"_null_{c}") for c in df.columns]
+    cells = (
+        df.select(
+            F.col(label).cast("string").alias("_label"), tx.char_length(F.col(text)).alias("_len"), *flags
+        )
+        .groupBy("_label", "_len", *[f"_null_{c}" for c in df.columns])
+        .agg(F.count("*").alias("_n"))
+    )
+    n = F.col("_n")
+    figures = [
+        ("total_samples", "", F.sum(n)),
+        ("columns", "", F.lit(len(df.columns))),
+        *[("missing_values", c, F.sum(F.col(f"_null_{c}") * n)) for c in df.columns],
+        *[("text", name, c) for name, c in _length_figures().items()],
+    ]
+    rolled = cells.rollup("_label").agg(
+        F.grouping_id().alias("_total"),
+        *[c.cast("double").alias(f"f{i}") for i, (_, _, c) in enumerate(figures)],
+    )
+
+    def row(metric: str, item: Column, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), item.alias("item"), value.alias("value"))
+
+    of_table = F.array(*[row(m, F.lit(item), F.col(f"f{i}")) for i, (m, item, _) in enumerate(figures)])
+    of_label = F.array(row("label_count", F.col("_label"), F.col("f0")))
+    wanted = F.when(F.col("_total") == 1, of_table).when(F.col("_label").isNotNull(), of_label)
+    return rolled.select(F.inline(wanted))
+
+
 def missing_values(df: DataFrame) -> DataFrame:
     """Null counts, one row per column, counted in one pass."""
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -142,9 +184,10 @@ def value_shares(df: DataFrame, col: str, over_all_rows: bool = False) -> DataFr
     counts = df.groupBy(col).agg(F.count("*").alias("n"))
     if not over_all_rows:
         counts = counts.filter(F.col(col).isNotNull())
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    shares = counts.withColumn("pct", _share(F.col("n"), total))
-    return shares.filter(F.col(col).isNotNull())
+    shares = beside(counts, counts.agg(F.sum("n").alias("_total")))
+    return shares.filter(F.col(col).isNotNull()).select(
+        col, "n", _share(F.col("n"), F.col("_total")).alias("pct")
+    )
 
 
 def class_balance(df: DataFrame, label: str = "sentimen", bound: float = 0.8) -> DataFrame:
@@ -157,8 +200,39 @@ def class_balance(df: DataFrame, label: str = "sentimen", bound: float = 0.8) ->
     )
 
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+DESCRIBED = ("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _describe_whole(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Everything from the counts of distinct values, so the input is read once."""
+    counts = (
+        df.select(*[F.col(c).cast("long").alias(c) for c in cols])
+        .unpivot([], cols, "column_name", "value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("column_name", "value")
+        .agg(F.count("*").alias("_n"))
+    )
+    n, v = F.col("_n"), F.col("value").cast("double")
+    base = counts.groupBy("column_name").agg(
+        F.sum(n).alias("count"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        *[F.percentile("value", F.lit(p), n).alias(q) for q, p in QUARTILES.items()],
+    )
+    apart = v - F.col("mean")
+    spread = counts.join(per_group_rows(base.select("column_name", "mean")), "column_name")
+    squares = spread.groupBy("column_name").agg(F.sum(n * apart * apart).alias("_squares"))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
+    return base.join(per_group_rows(squares), "column_name").withColumn("std", std).select(*DESCRIBED)
+
+
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per column."""
+    kinds = {t for name, t in df.dtypes if name in cols}
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return _describe_whole(df, cols)
     figures = {
         "count": F.count,
         "mean": F.avg,
@@ -167,25 +241,16 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
         "max": lambda c: F.max(c).cast("double"),
     }
     row = df.agg(*[f(c).alias(f"{c}_{m}") for c in cols for m, f in figures.items()])
-    per_column = row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"), *[F.col(f"{c}_{m}").alias(m) for m in figures]
-                    )
-                    for c in cols
-                ]
-            )
-        )
-    )
-    whole = all(t in ("tinyint", "smallint", "int", "bigint") for n, t in df.dtypes if n in cols)
-    kind = "long" if whole else "double"
-    values = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot(
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}_{m}").alias(m) for m in figures])
+        for c in cols
+    ]
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value"
     )
-    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    return per_column.join(exact_percentiles(values, "value", probs, ["column_name"]), "column_name")
+    quartiles = exact_percentiles(values, "value", QUARTILES, ["column_name"])
+    per_column = row.select(F.inline(F.array(*entries)))
+    return per_column.join(quartiles, "column_name").select(*DESCRIBED)
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:
@@ -193,13 +258,15 @@ def describe_text(df: DataFrame, col: str) -> DataFrame:
     counts = value_counts(df, col)
     best = counts.select("n", F.col(col).alias("v")).orderBy(F.desc("n"), "v").limit(1)
     totals = counts.agg(F.sum("n").alias("count"), F.count("*").alias("unique"))
-    one = F.lit(1)
-    return totals.withColumn("_one", one).join(best.withColumn("_one", one), "_one", "left").select(
+    # Without any value there is no best row, and the totals stand alone.
+    none = totals.select(F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("v"))
+    best = best.unionByName(none).orderBy(F.desc("n"), "v").limit(1)
+    return beside(totals, best).select(
         F.lit(col).alias("column_name"),
         F.coalesce("count", F.lit(0)).alias("count"),
         "unique",
         F.col("v").alias("top"),
-        F.col("n").alias("freq"),
+        F.when(F.col("n") > 0, F.col("n")).alias("freq"),
     )
 
 
@@ -231,7 +298,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
     )
     edges = (
         counts.groupBy("_grp")
-        .agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+        .agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.sum("_n").alias("_total"))
+        .filter(F.col("_total") > 0)  # keeps both uses of `counts` alike, so it is computed once
         .select(
             F.col("_grp").alias("grp"),
             F.when(F.col("_a") == F.col("_b"), F.col("_a") - 0.5).otherwise(F.col("_a")).alias("lo"),
@@ -239,7 +307,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
         )
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     )
-    placed = counts.join(edges, F.col("_grp") == F.col("grp"))
+    placed = counts.join(per_group_rows(edges), F.col("_grp") == F.col("grp"))
     bin_no = F.least(F.floor((F.col("_x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     filled = placed.groupBy("grp", bin_no.cast("int").alias("bin")).agg(F.sum("_n").alias("n"))
     grid = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))

@@ -14,6 +14,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_PREFIX = 3  # 4,096 buckets: the counts stay small and one bucket holds n / 4,096 rows
+MAX_GROUPS = 10_000  # labels and other grouping values whose per-group row may be broadcast
+
+
+def per_group_rows(df: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
+    """A table of one row per group, marked for broadcast; more rows than `limit` end the query."""
+    n = F.count("*").over(Window.partitionBy(F.lit(1)))
+    fits = F.when(F.col("_rows") <= limit, True).otherwise(
+        F.raise_error(F.lit(f"more than {limit} groups")).cast("boolean")
+    )
+    return F.broadcast(df.withColumn("_rows", n).filter(fits).drop("_rows"))
+
+
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Every row of `df` with the columns of a one-row aggregate."""
+    one = F.lit(1)
+    right = F.broadcast(one_row.withColumn("_one", one))
+    return df.withColumn("_one", one).join(right, "_one").drop("_one")
 
 
 def hash_order(key: str, seed: int = 42) -> Column:
@@ -68,7 +85,7 @@ def hash_cutoffs(
         )
     )
     inside = keyed.join(
-        wanted,
+        per_group_rows(wanted),
         F.col("grp").eqNullSafe(F.col("w_grp")) & (F.col("bucket") == F.col("w_bucket")),
     )
     order = Window.partitionBy("grp", "bucket", "rank").orderBy("cut_hash", "cut_key")
@@ -104,7 +121,7 @@ def hash_lowest(
     )
     group = F.col(by).cast("string") if by else F.lit("all")
     taken = F.coalesce(_not_after(key, seed), F.lit(False))
-    return df.join(cuts, group.eqNullSafe(F.col("_grp")), "left").select(
+    return df.join(per_group_rows(cuts), group.eqNullSafe(F.col("_grp")), "left").select(
         *df.columns, taken.alias(flag)
     )
 
@@ -130,13 +147,13 @@ def hash_tiles(
         F.col("_cuts"),
         lambda c: (c["cut_hash"] < h) | ((c["cut_hash"] == h) & (c["cut_key"] < F.col(key))),
     )
-    return df.join(cuts, group.eqNullSafe(F.col("_grp")), "left").select(
+    return df.join(per_group_rows(cuts), group.eqNullSafe(F.col("_grp")), "left").select(
         *df.columns, F.coalesce(F.size(before), F.lit(0)).cast("int").alias(tile)
     )
 
 
 def running_sums(
-    df: DataFrame, value: str, weights: list[str], by: list[str] | None = None, buckets: int = 256
+    df: DataFrame, value: str, weights: list[str], by: list[str] | None = None, buckets: int = 1024
 ) -> DataFrame:
     """Sums of each weight over strictly smaller values, as `<weight>_below`.
 
@@ -145,6 +162,7 @@ def running_sums(
     offsets, and only the rows of one bucket are sorted together.
     """
     by = by or []
+    df = df.filter(F.col(value).isNotNull())
     steps = [i / buckets for i in range(1, buckets)]
     inner = sorted(set(df.approxQuantile(value, steps, 0.5 / buckets)))
     bounds = [float("-inf"), *inner, float("inf")]
@@ -161,7 +179,8 @@ def running_sums(
         *keys, *[F.coalesce(F.sum(f"_t_{w}").over(earlier), F.lit(0)).alias(f"_o_{w}") for w in weights]
     )
     inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return bucketed.join(offsets, keys).select(
+    # A left join leaves the same filters on both uses of `df`, so its shuffle can be reused.
+    return bucketed.join(offsets, keys, "left").select(
         *df.columns,
         *[
             (F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_below")
@@ -188,9 +207,7 @@ def exact_percentiles(
         )
     placed = running_sums(counts, value, ["_n"], by)
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    joined = placed.join(totals, by) if by else placed.withColumn(
-        "_total", totals.select("_total").scalar()
-    )
+    joined = placed.join(per_group_rows(totals), by) if by else beside(placed, totals)
 
     def at(position: Column) -> Column:
         hit = (F.col("_n_below") <= position) & (position < F.col("_n_below") + F.col("_n"))

@@ -18,7 +18,7 @@ from ulasan.functions.vector import l2_normalize
 from ulasan.operators import kernels
 from ulasan.operators.ranking import hash_order
 from ulasan.operators.sampling import random_sample
-from ulasan.session import scratch_path
+from ulasan.session import stored
 from ulasan.settings import IndexParams
 
 HITS = "query_id long, vec_id long, score double"
@@ -32,13 +32,6 @@ def _is_l2(params: IndexParams) -> bool:
     return params.index_type == "l2"
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back, so later steps do not recompute."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # --- tables -----------------------------------------------------------------
 
 
@@ -290,7 +283,7 @@ def _place(items: DataFrame, n_upper: int, threshold: float, block: int) -> Data
             )
 
     schema = "vec_id long, unit_vec array<float>, cell int, visitor boolean"
-    placed = _stored(items.select("vec_id", "unit_vec").mapInArrow(assign, schema), "cells")
+    placed = stored(items.select("vec_id", "unit_vec").mapInArrow(assign, schema), "cells")
     sizes = placed.groupBy("cell").agg(
         F.ceil(F.count_if(~F.col("visitor")) / block).alias("s"),
         F.ceil(F.count_if(F.col("visitor")) / block).alias("t"),
@@ -359,7 +352,7 @@ def near_duplicates(
         copies = Window.partitionBy("unit_vec").orderBy("vec_id")
         items = base.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= KNN)
         items = items.select("vec_id", "unit_vec")
-        items = _stored(items, "items") if many else items
+        items = stored(items, "items") if many else items
         near = _block_join(items, n_upper, threshold, block, KNN)
         by_rank = Window.partitionBy("i").orderBy(
             F.round("similarity", kernels.TIE_DIGITS).desc(), "j"
@@ -373,7 +366,7 @@ def near_duplicates(
         raise ValueError(f"unknown mode: {mode}")
 
     groups = base.groupBy("unit_vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    groups = _stored(groups, "groups") if many else groups
+    groups = stored(groups, "groups") if many else groups
     items = groups.select(F.col("rep").alias("vec_id"), "unit_vec")
     near = _block_join(items, n_upper, threshold, block, None)
     # Rows of one hot vector are spread over several join keys.

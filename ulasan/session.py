@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "ulasan") -> SparkSession:
@@ -30,11 +30,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="ulasan-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, never used before."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back, so later steps do not recompute."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -13,7 +13,7 @@ REVIEW_SCHEMA = T.StructType(
         T.StructField("translate", T.StringType()),
     ]
 )
-TEXT_SCHEMA = T.StructType([T.StructField("review", T.StringType())])
+MAX_BROADCAST_BLOCKS = 200_000
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -111,6 +111,10 @@ def read_reviews_csv(
         "_first",
         (F.sum("_n").over(in_order) - F.col("_n")).alias("_offset"),
     )
+    # Blocks are at most one per file and one more per split.
+    n_blocks = len(rows.inputFiles()) + rows.rdd.getNumPartitions()
+    if n_blocks <= MAX_BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     return rows.join(offsets, ["_file", "_start"]).select(
         (F.col("_offset") + F.col("_pos") - F.col("_first")).alias("row_index"), *present
     )
