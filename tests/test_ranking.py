@@ -94,3 +94,18 @@ def test_histogram_edges(spark):
 def test_describe_text_tie_goes_to_the_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), ("c",), (None,)], "t string")
     assert tuple(pf.describe_text(df, "t").head()) == ("t", 5, 3, "a", 2)
+
+
+def test_a_hot_key_stays_together(spark):
+    """A third of the rows share one key: it is one row of counts, and is never cut in two."""
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("row_id"))
+    out = sm.train_test_split(df, label=None).groupBy("row_id", "is_test").count().collect()
+    assert len({r["is_test"] for r in out if r["row_id"] == -1}) == 1
+    assert sum(r["count"] for r in out) == 3000
+
+
+def test_too_many_groups_end_the_query(spark):
+    df = spark.range(50).select("id", F.lit(1).alias("v"))
+    assert rk.per_group_rows(df, 50).count() == 50
+    with pytest.raises(Exception, match="more than 49 groups"):
+        rk.per_group_rows(df, 49).count()

@@ -19,6 +19,7 @@ from ulasan.operators import features as ft
 from ulasan.operators import metrics
 from ulasan.operators.ranking import beside
 from ulasan.operators.sampling import folds, train_test_split
+from ulasan.session import stored
 from ulasan.settings import TrainParams
 
 DEFAULTS = TrainParams()
@@ -110,9 +111,10 @@ def train(
     The selector sees the training rows only, unless `leaky_selection` asks for all rows.
     """
     label = "sentimen" if params.stratify else None
-    data = train_test_split(
+    split = train_test_split(
         df.select(key, "sentimen", "features"), params.test_size, label, key, params.seed
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    data = stored(split, "training")
     fit_rows, held = data.filter(~F.col("is_test")), data.filter("is_test")
     sizes = {r["is_test"]: r["count"] for r in data.groupBy("is_test").count().collect()}
     n_train, n_test = sizes.get(False, 0), sizes.get(True, 0)

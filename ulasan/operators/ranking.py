@@ -49,7 +49,8 @@ def hash_cutoffs(
 
     `ranks(group_n, total_n, n_groups)` returns the array of 1-based ranks wanted. The result is
     one short row per group and rank: `grp, rank, cut_hash, cut_key`. Rows are counted per group
-    and hash prefix; only the bucket that holds a wanted rank is then sorted. `key` is unique.
+    and hash prefix; only the bucket that holds a wanted rank is then sorted. `key` should be unique;
+    rows that share a key stay on one side of a cut-off.
     """
     group = F.col(by).cast("string") if by else F.lit("all")
     keyed = df.select(
@@ -88,10 +89,14 @@ def hash_cutoffs(
         per_group_rows(wanted),
         F.col("grp").eqNullSafe(F.col("w_grp")) & (F.col("bucket") == F.col("w_bucket")),
     )
+    # Rows of one key are merged before they are sorted, so a hot key is one short row.
+    keys = inside.groupBy("grp", "bucket", "rank", "within", "cut_hash", "cut_key").agg(
+        F.count("*").alias("n")
+    )
     order = Window.partitionBy("grp", "bucket", "rank").orderBy("cut_hash", "cut_key")
     return (
-        inside.withColumn("pos", F.row_number().over(order))
-        .filter(F.col("pos") == F.col("within"))
+        keys.withColumn("upto", F.sum("n").over(order))
+        .filter((F.col("upto") >= F.col("within")) & (F.col("upto") - F.col("n") < F.col("within")))
         .select("grp", "rank", "cut_hash", "cut_key")
     )
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from ulasan.operators import features as ft
 from ulasan.operators import models, prepare, vectors
 from ulasan.operators.models import TrainedClassifier
 from ulasan.operators.sampling import stratified_sample
+from ulasan.session import stored
 from ulasan.settings import CleanRules, IndexParams, TrainParams
 from ulasan.sources import stores
 
@@ -44,7 +44,8 @@ def train_job(
 ) -> TrainedRun:
     """Validate, sample, prepare, encode, train and index `(row_id, review, sentimen)` rows.
 
-    Each stage raises when it cannot go on. The prepared rows are kept once for all later stages.
+    Each stage raises when it cannot go on. The prepared rows are written once to the shared folder,
+    so the later stages neither clean again nor depend on the executors that did.
     """
     start = time.perf_counter()
     check = prepare.validate(df).head()
@@ -52,7 +53,7 @@ def train_job(
         raise ValueError(f"invalid dataset: {check.asDict()}")
     if sample:
         df = stratified_sample(df, sample)
-    rows = prepare.prepare(df, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored(prepare.prepare(df, rules), "prepared")
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError("no rows left after preparation")
