@@ -147,3 +147,13 @@ def test_cluster_centers_and_benchmark(spark):
     assert sorted(r["cluster_id"] for r in rows) == [0, 1, 2, 3]
     assert len({r["closest_item_index"] for r in rows}) == 4
     assert vx.benchmark_search(index, 1000, 3).head()["n_queries"] == 200
+
+
+@pytest.mark.parametrize("params", [IndexParams(), BLOCKS])
+def test_rows_without_a_vector_take_no_part(spark, params):
+    v = clustered(20)
+    index = vx.build_index(frame(spark, v)).select("vec_id", "unit_vec")
+    index = index.unionByName(spark.createDataFrame([(99, None)], "vec_id long, unit_vec array<float>"))
+    queries = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    rows = vx.search(index, queries, 30, params).collect()
+    assert len(rows) == 400 and 99 not in {r["vec_id"] for r in rows} | {r["query_id"] for r in rows}

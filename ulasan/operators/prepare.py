@@ -68,7 +68,12 @@ def cast_labels(df: DataFrame, label: str = "sentimen") -> DataFrame:
 
 
 def with_clean(df: DataFrame, rules: CleanRules = CleanRules(), source: str = "review") -> DataFrame:
-    return df.withColumn("review_clean", tx.clean(F.col(source), rules))
+    """Adds `review_clean`.
+
+    A one-element generator keeps later filters on the cleaned text above it. As a plain column the
+    whole cleaning would be copied into such filters, run twice, and be pushed into the scan.
+    """
+    return df.withColumn("review_clean", F.explode(F.array(tx.clean(F.col(source), rules))))
 
 
 def prepare(

@@ -169,7 +169,7 @@ def running_sums(
     by = by or []
     df = df.filter(F.col(value).isNotNull())
     steps = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(df.approxQuantile(value, steps, 0.5 / buckets)))
+    inner = sorted(set(df.approxQuantile(value, steps, 1 / buckets)))
     bounds = [float("-inf"), *inner, float("inf")]
     if len(bounds) > 2:
         bucketed = Bucketizer(splits=bounds, inputCol=value, outputCol="_bucket").transform(df)

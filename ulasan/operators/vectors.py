@@ -109,6 +109,7 @@ def _search_broadcast(index, vec, rows: pa.Table, k, normalize, l2) -> DataFrame
         ids, q = shared.value
         top = kernels.TopK(q, k, l2)
         for b in batches:
+            b = b.filter(b.column(1).is_valid())
             if b.num_rows:
                 top.add(b.column(0).to_numpy(), kernels.matrix(b.column(1), normalize))
         pos, vec_id, score = top.rows()
@@ -124,9 +125,16 @@ def _upto(n: int) -> Column:
 
 
 def _search_blocks(index, vec, queries, qvec, k, normalize, l2, block) -> DataFrame:
-    """Both sides in hash blocks; every query block meets every index block in its own task."""
-    nq = max(1, math.ceil(queries.count() / block))
+    """Both sides in hash blocks; every query block meets every index block in its own task.
+
+    The queries are stored first, as they are often the end of a long plan. Small inputs are cut
+    finer, so that all cores have a block pair.
+    """
+    queries = stored(queries, "queries").filter(F.col(qvec).isNotNull())
+    index = index.filter(F.col(vec).isNotNull())
     ni = max(1, math.ceil(index.count() / block))
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    nq = max(1, math.ceil(queries.count() / block), math.ceil(cores / ni))
     q = queries.select(
         F.lit(True).alias("is_query"),
         F.col("query_id").alias("id"),
@@ -167,13 +175,14 @@ def search(
 
     A query set within `max_query_rows` and `max_broadcast_bytes` is sent to all tasks that scan
     the index, which is then never shuffled. A larger one is met block by block instead. Ties go to the lower `vec_id`;
-    `k` is at least one, and a small index gives fewer rows.
+    `k` is at least one, and a small index gives fewer rows. Rows without a vector take no part.
     """
     k, l2 = max(1, k), _is_l2(params)
-    index = index.filter(F.col(vec).isNotNull())
-    queries = queries.select("query_id", qvec).filter(F.col(qvec).isNotNull())
+    queries = queries.select("query_id", qvec)
     rows = queries.limit(params.max_query_rows + 1).toArrow()
     if rows.num_rows <= params.max_query_rows and rows.nbytes <= params.max_broadcast_bytes:
+        # A null test as a column filter would compute the vectors twice.
+        rows = rows.filter(rows.column(1).is_valid())
         found = _search_broadcast(index, vec, rows, k, params.normalize, l2)
     else:
         found = _search_blocks(

@@ -67,6 +67,7 @@ def train_job(
             params=index_params,
             check=False,
         )
+        index = stored(index, "index")
     run = TrainedRun(rules, encoder, classifier, index, index_params, n_rows, params.dim)
     if save_path:
         save_run(run, save_path)

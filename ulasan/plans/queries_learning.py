@@ -408,7 +408,8 @@ def a19(spark, sf):
 
 def _document_stream(spark, sf):
     schema = src.table(spark, sf, "documents").schema
-    docs = st.read_texts(spark, sf, schema, "documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    docs = st.read_texts(spark, sf, schema, "documents.parquet", spread_to=cores)
     return docs.select(F.col("doc_id").alias("row_index"), F.col("text").alias("review"))
 
 

@@ -13,15 +13,24 @@ from ulasan.settings import CleanRules
 
 
 def read_texts(
-    spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet", files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    glob: str = "*.parquet",
+    files_per_batch: int = 1000,
+    spread_to: int | None = None,
 ) -> DataFrame:
-    """Parquet files arriving in a folder."""
-    return (
+    """Parquet files arriving in a folder.
+
+    `spread_to` deals the rows of a batch out to that many tasks, for batches of few small files.
+    """
+    texts = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(folder)
     )
+    return texts.repartition(spread_to) if spread_to else texts
 
 
 def clean_stream(texts: DataFrame, rules: CleanRules = CleanRules(), min_chars: int = 3) -> DataFrame:
