@@ -125,7 +125,7 @@ def m5(spark, sf):
 
 
 def _fit(spark, sf, **params):
-    data = points(spark, sf).withColumnRenamed("features", "selected").cache()
+    data = points(spark, sf).withColumnRenamed("features", "selected")
     model = md.make_classifier(TrainParams(**params), data.count()).fit(data)
     return model, data
 
@@ -170,6 +170,27 @@ def m7(spark, sf):
     return md.predict(run.model, data).select("row_id", "prediction", "sentiment", "confidence")
 
 
+@query(
+    "m7_m8_names_follow_labels",
+    "SELECT vec_id AS row_id, TRUE AS svm_is_valid, TRUE AS forest_is_valid FROM embeddings",
+)
+def m7_m8(spark, sf):
+    """A linear SVM gives labels without confidence; a forest gives both."""
+    data = points(spark, sf)
+    named = F.col("sentiment") == tx.label_name(F.col("prediction"))
+    svm = md.train(data, TrainParams(model_type="svm", k_features=20), with_cv=False)
+    forest = md.train(
+        data, TrainParams(model_type="random_forest", params={"n_estimators": 10}, k_features=20), with_cv=False
+    )
+    a = md.predict(svm.model, data).select(
+        "row_id", (named & F.col("confidence").isNull()).alias("svm_is_valid")
+    )
+    b = md.predict(forest.model, data).select(
+        "row_id", (named & (F.col("confidence") >= 0.5)).alias("forest_is_valid")
+    )
+    return a.join(b, "row_id")
+
+
 @query("m8_random_forest")
 def m8(spark, sf):
     data = points(spark, sf)
@@ -195,6 +216,18 @@ def m10(spark, sf):
     return md.cross_validate(data)
 
 
+@query(
+    "m10_cross_validation_sizes",
+    "SELECT fold, count(*) AS n_test, TRUE AS is_share FROM (SELECT CASE WHEN rn <= (n + 2) // 3 THEN 0 "
+    "WHEN rn <= (2 * n + 2) // 3 THEN 1 ELSE 2 END AS fold FROM (SELECT row_number() OVER (PARTITION BY label >= 5 "
+    "ORDER BY md5(CAST(vec_id AS VARCHAR) || ':43'), vec_id) AS rn, count(*) OVER (PARTITION BY label >= 5) AS n "
+    "FROM embeddings)) GROUP BY 1",
+)
+def m10_sizes(spark, sf):
+    scores = md.cross_validate(points(spark, sf).withColumnRenamed("features", "selected"))
+    return scores.select("fold", "n_test", F.col("accuracy").between(0.0, 1.0).alias("is_share"))
+
+
 @query("m10_cross_validation_summary")
 def m10_summary(spark, sf):
     return md.cv_summary(md.cross_validate(points(spark, sf).withColumnRenamed("features", "selected")))
@@ -258,13 +291,6 @@ def m14_centred(spark, sf):
     )
 
 
-@query("e7_evaluate_model")
-def e7_model(spark, sf):
-    return md.evaluate(trained(spark, sf).classifier)
-
-
-# --- saved models -----------------------------------------------------------------
-
 HELD_OUT = (
     WITH
     + f", d AS (SELECT min(row_id) AS row_id, review, sentimen FROM reviews GROUP BY review, sentimen), "
@@ -273,6 +299,30 @@ HELD_OUT = (
 )
 
 
+@query("e7_evaluate_model")
+def e7_model(spark, sf):
+    return md.evaluate(trained(spark, sf).classifier)
+
+
+@query(
+    "e7_evaluate_model_counts",
+    HELD_OUT
+    + "SELECT CAST(sum(n) FILTER (WHERE sentimen = 0) AS BIGINT) AS n_negative, "
+    "CAST(sum(n) FILTER (WHERE sentimen = 1) AS BIGINT) AS n_positive, TRUE AS adds_up, TRUE AS has_auc FROM held",
+)
+def e7_counts(spark, sf):
+    row = md.evaluate(trained(spark, sf).classifier)
+    hits = (F.col("n00") + F.col("n11")) / (F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11"))
+    return row.select(
+        (F.col("n00") + F.col("n01")).alias("n_negative"),
+        (F.col("n10") + F.col("n11")).alias("n_positive"),
+        (F.abs(F.col("accuracy") - hits) < 1e-12).alias("adds_up"),
+        F.col("auc").between(0.0, 1.0).alias("has_auc"),
+    )
+
+
+# --- saved models -----------------------------------------------------------------
+
 def _agreement(a, b, key):
     left = a.select(key, F.col("prediction").alias("p"), F.col("confidence").alias("c"))
     right = b.select(key, F.col("prediction").alias("q"), F.col("confidence").alias("d"))
@@ -348,6 +398,18 @@ def q2(spark, sf):
     return jobs.score(trained(spark, sf), row)[0]
 
 
+@query(
+    "q2_score_longest_text",
+    CLEANED
+    + "SELECT doc_id AS row_index, c.t AS review_clean, TRUE AS is_named FROM c JOIN documents d USING (doc_id) "
+    "ORDER BY length(d.text) DESC, doc_id LIMIT 1",
+)
+def q2_longest(spark, sf):
+    return q2(spark, sf).select(
+        "row_index", "review_clean", F.col("sentiment").isin("Negative", "Positive").alias("is_named")
+    )
+
+
 @query("q3_score_file", SCORABLE + "SELECT doc_id AS row_index, t AS review_clean FROM k")
 def q3(spark, sf):
     scored, _ = jobs.score(trained(spark, sf), documents(spark, sf))

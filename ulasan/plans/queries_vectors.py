@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ulasan.functions import vector as vf
 from ulasan.operators import vectors as vx
+from ulasan.operators.ranking import beside
 from ulasan.plans import sqltext as s
 from ulasan.plans.catalog import query, rounded
 from ulasan.plans.queries_text import SCORED, scored
@@ -307,3 +308,38 @@ def v8(spark, sf):
     return vx.benchmark_search(index(spark, sf))
 
 
+
+
+@query(
+    "v7_closest_items",
+    "SELECT CAST(range AS INTEGER) AS cluster_id, TRUE AS is_closest FROM range(10)",
+)
+def v7_closest(spark, sf):
+    """No row of the index has a greater inner product with a centre than the row given for it."""
+    idx = index(spark, sf)
+    centers = vx.cluster_centers(idx, 10)
+    given = centers.select("cluster_id", "centroid", F.col("closest_item_index").alias("vec_id"))
+    chosen = given.join(idx.select("vec_id", "unit_vec"), "vec_id").select(
+        "cluster_id", vf.inner_product(F.col("centroid"), F.col("unit_vec")).alias("own")
+    )
+    # Ten centres beside every row, folded to one maximum per centre.
+    all_centers = given.agg(F.collect_list(F.struct("cluster_id", "centroid")).alias("centers"))
+    best = (
+        beside(idx.select("unit_vec"), all_centers)
+        .select("unit_vec", F.explode("centers").alias("c"))
+        .groupBy(F.col("c.cluster_id").alias("cluster_id"))
+        .agg(F.max(vf.inner_product(F.col("c.centroid"), F.col("unit_vec"))).alias("best"))
+    )
+    return chosen.join(best, "cluster_id").select(
+        "cluster_id", (F.col("own") >= F.col("best") - 1e-6).alias("is_closest")
+    )
+
+
+@query(
+    "v8_search_benchmark_shape",
+    "SELECT least(count(*), 100) AS n_queries, 5 AS k, TRUE AS is_consistent FROM embeddings",
+)
+def v8_shape(spark, sf):
+    row = vx.benchmark_search(index(spark, sf))
+    rate = F.abs(F.col("queries_per_second") * F.col("avg_time_per_query") - 1) < 1e-9
+    return row.select("n_queries", "k", rate.alias("is_consistent"))

@@ -40,6 +40,7 @@ class CleanRules:
     """How text is cleaned and which rows survive preparation."""
 
     profile: str = "full"  # "full" or "basic"
+    # The default patterns and bounds.
     lowercase: bool = True
     special_chars: str = r"[^a-zA-Z\s]"
     extra_whitespace: str = r"\s+"
@@ -63,6 +64,7 @@ class CleanRules:
 
 @dataclass(frozen=True)
 class TrainParams:
+    # The defaults of training.
     model_type: str = "logistic_regression"
     params: dict = field(default_factory=lambda: {"C": 1.0, "max_iter": 1000})
     k_features: int | None = 500
