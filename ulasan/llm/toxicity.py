@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples.
 
-The vocabulary is the terms that the labels single out, their inverse document frequencies come from
+The vocabulary is the words and word stems that the labels single out, their inverse document frequencies come from
 all documents, and a text is the vector of its terms' TF-IDF weights, of unit length. A bounded set of labelled examples
 is held as an inverted index whose posting lists are cut into blocks of examples, each with the
 largest weight that a term has in it. A query adds these up to a bound per block, visits blocks in
@@ -29,8 +29,10 @@ _TABLE = bytes(
 )
 
 
-def terms(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
+def terms(text: str | None, stem: int = 7) -> list[bytes]:
+    """Words, and the first bytes of longer words as stems, which inflected forms share."""
+    found = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
+    return found + [t[:stem] + b"*" for t in found if len(t) > stem]
 
 
 # --- the index ----------------------------------------------------------------
@@ -178,11 +180,11 @@ def document_frequencies(docs: DataFrame, names: list[bytes], text_col: str = "t
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    max_rows: int = 12_000,
+    max_rows: int = 24_000,
     max_examples: int = 4096,
     max_terms: int = 512,
     min_rows: int = 4,
-    least_chi2: float = 20.0,
+    least_chi2: float = 30.0,
     k: int = 15,
 ) -> NeighbourModel:
     """Fit on at most about `max_rows` labelled rows (`labels` is `(doc_id, toxic)`), held-out rows
