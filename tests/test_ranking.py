@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ulasan.operators import metrics
 from ulasan.operators import profile as pf
 from ulasan.operators import ranking as rk
 from ulasan.operators import sampling as sm
@@ -104,8 +105,32 @@ def test_a_hot_key_stays_together(spark):
     assert sum(r["count"] for r in out) == 3000
 
 
-def test_too_many_groups_end_the_query(spark):
-    df = spark.range(50).select("id", F.lit(1).alias("v"))
-    assert rk.per_group_rows(df, 50).count() == 50
-    with pytest.raises(Exception, match="more than 49 groups"):
-        rk.per_group_rows(df, 49).count()
+def test_many_groups_split(spark):
+    df = spark.range(40_000).select(F.col("id").alias("row_id"), (F.col("id") % 20_000).alias("simen"))
+    out = sm.train_test_split(df, label="simen", test_size=0.5).groupBy("simen").agg(
+        F.sum(F.col("is_test").cast("int")).alias("n")
+    )
+    assert {(r["n"], r["count"]) for r in out.groupBy("n").count().collect()} == {(1, 20_000)}
+
+
+def test_nan_and_infinity(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(x, None) for x in (1.0, 2.0, 3.0, nan, None)] + [(4.0, None)]
+    df = spark.createDataFrame(rows, "x double, none double")
+    got = {r["column_name"]: r for r in pf.describe_numeric(df, ["x", "none"]).collect()}
+    assert (got["x"]["count"], got["x"]["mean"], got["x"]["p50"], got["x"]["max"]) == (4, 2.5, 2.5, 4.0)
+    assert got["none"]["count"] == 0 and got["none"]["p50"] is None
+    ends = spark.createDataFrame([(-inf,), (-inf,), (0.0,), (inf,), (inf,)], "x double")
+    r = pf.describe_numeric(ends, ["x"]).first()
+    assert (r["p25"], r["p50"], r["p75"]) == (-inf, 0.0, inf)
+    bins = pf.histogram(df.union(ends.select("x", F.lit(None).cast("double"))), "x", bins=2).collect()
+    assert [b["n"] for b in bins] == [2, 3] and bins[0]["bin_start"] == 0.0
+    scores = spark.createDataFrame([(1, inf), (0, -inf), (1, 0.5), (0, 0.5), (1, nan)], "actual int, score double")
+    assert metrics.roc_auc(scores).first()["auc"] == 0.875
+
+
+def test_whole_numbers_are_not_gathered(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("key"))
+    r = pf.describe_numeric(df, ["key"]).first()
+    want = sorted(x["key"] for x in df.collect())
+    assert r["count"] == 5000 and r["p50"] == (want[2499] + want[2500]) / 2

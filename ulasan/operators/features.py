@@ -104,7 +104,7 @@ def f_scores(df: DataFrame, features: str = "features", label: str = "sentimen")
 def select_k_best(scores: DataFrame, k: int | None) -> DataFrame:
     """The `k` features of largest F, undefined scores last, ties to the lower index.
 
-    `k=None` keeps every feature. `position` is the index within the selected vector.
+    `k=None` keeps every feature.
     """
     ranked = scores.orderBy(F.col("f_score").desc_nulls_last(), "feature")
     return ranked.limit(k) if k else ranked

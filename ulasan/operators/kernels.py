@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 TIE_DIGITS = 12  # scores equal to this many digits are ties and fall back to the id order
 
 
 def matrix(column: pa.Array, normalize: bool) -> np.ndarray:
-    """A list column as a double matrix; zero rows stay zero when normalising."""
+    """A list column as a double matrix; zero rows stay zero when normalising. Ragged lists raise."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    sizes = pc.unique(pc.list_value_length(column)).to_pylist()
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(map(str, sizes))[:5]}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     out = flat.reshape(len(column), -1)
     if normalize:

@@ -62,7 +62,12 @@ def make_classifier(params: TrainParams, n_train: int, features: str = "selected
             regParam=penalty, maxIter=steps, tol=p.get("tol", 1e-4), standardization=False, **columns
         )
     return LogisticRegression(
-        regParam=penalty, elasticNetParam=0.0, maxIter=steps, standardization=False, **columns
+        regParam=penalty,
+        elasticNetParam=0.0,
+        maxIter=steps,
+        tol=p.get("tol", 1e-6),
+        standardization=False,
+        **columns,
     )
 
 

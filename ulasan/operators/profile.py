@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ulasan.functions import text as tx
 from ulasan.functions.vector import l2_norm, row_mean, row_std
-from ulasan.operators.ranking import beside, exact_percentiles, per_group_rows
+from ulasan.operators.ranking import beside, exact_percentiles
 
 
 def _share(n: Column, total: Column) -> Column:
@@ -110,45 +110,6 @@ def missing_values(df: DataFrame) -> DataFrame:
     return row.select(F.inline(pairs))
 
 
-def dataset_statistics(df: DataFrame, label: str = "sentimen", text: str = "review") -> DataFrame:
-    """`(metric, item, value)` rows: totals, nulls per column, label counts, length statistics.
-
-    All parts come from one small table of row counts per (label, length, null pattern).
-    """
-    flags = [F.col(c).isNull().cast("int").alias(f"_null_{c}") for c in df.columns]
-    cells = (
-        df.select(
-            F.col(label).cast("string").alias("_label"), tx.char_length(F.col(text)).alias("_len"), *flags
-        )
-        .groupBy("_label", "_len", *[f"_null_{c}" for c in df.columns])
-        .agg(F.count("*").alias("_n"))
-    )
-    n, length = F.col("_n"), F.col("_len")
-    weighted = F.sum(length * n) / F.sum(F.when(length.isNotNull(), n))
-    figures = [
-        ("total_samples", "", F.sum(n)),
-        ("columns", "", F.lit(len(df.columns))),
-        *[("missing_values", c, F.sum(F.col(f"_null_{c}") * n)) for c in df.columns],
-        ("text", "mean_length", weighted),
-        ("text", "median_length", F.percentile("_len", F.lit(0.5), F.col("_n"))),
-        ("text", "min_length", F.min("_len")),
-        ("text", "max_length", F.max("_len")),
-    ]
-    totals = cells.agg(*[c.cast("double").alias(f"f{i}") for i, (_, _, c) in enumerate(figures)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), F.lit(item).alias("item"), F.col(f"f{i}").alias("value"))
-            for i, (m, item, _) in enumerate(figures)
-        ]
-    )
-    labels = cells.filter(F.col("_label").isNotNull()).groupBy("_label").agg(
-        F.sum("_n").cast("double").alias("value")
-    )
-    return totals.select(F.inline(rows)).unionByName(
-        labels.select(F.lit("label_count").alias("metric"), F.col("_label").alias("item"), "value")
-    )
-
-
 def text_statistics(df: DataFrame, text: str = "review") -> DataFrame:
     """Totals, blank texts, and lengths and words over texts that are not empty; 0 when none are."""
     t = F.col(text)
@@ -204,35 +165,13 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 DESCRIBED = ("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def _describe_whole(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Everything from the counts of distinct values, so the input is read once."""
-    counts = (
-        df.select(*[F.col(c).cast("long").alias(c) for c in cols])
-        .unpivot([], cols, "column_name", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("_n"))
-    )
-    n, v = F.col("_n"), F.col("value").cast("double")
-    base = counts.groupBy("column_name").agg(
-        F.sum(n).alias("count"),
-        (F.sum(v * n) / F.sum(n)).alias("mean"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        *[F.percentile("value", F.lit(p), n).alias(q) for q, p in QUARTILES.items()],
-    )
-    apart = v - F.col("mean")
-    spread = counts.join(per_group_rows(base.select("column_name", "mean")), "column_name")
-    squares = spread.groupBy("column_name").agg(F.sum(n * apart * apart).alias("_squares"))
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
-    return base.join(per_group_rows(squares), "column_name").withColumn("std", std).select(*DESCRIBED)
-
-
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per column."""
-    kinds = {t for name, t in df.dtypes if name in cols}
-    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
-        return _describe_whole(df, cols)
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per column.
+
+    NaN counts as null. A column without values has count 0 and nulls. Distinct values of a column
+    never meet in one task, whatever its type.
+    """
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
     figures = {
         "count": F.count,
         "mean": F.avg,
@@ -250,7 +189,7 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     )
     quartiles = exact_percentiles(values, "value", QUARTILES, ["column_name"])
     per_column = row.select(F.inline(F.array(*entries)))
-    return per_column.join(quartiles, "column_name").select(*DESCRIBED)
+    return per_column.join(quartiles, "column_name", "left").select(*DESCRIBED)
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:
@@ -287,19 +226,17 @@ def quartiles_by_label(df: DataFrame, col: str, label: str = "sentimen") -> Data
 def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max] of each group, the last bin closed, empty bins kept.
 
-    A constant column gets a range of one around its value. Equal values are merged before they
-    are binned.
+    A constant column gets a range of one around its value. Null, NaN and infinite values are left
+    out. One scan finds the ranges and a second counts bins, so no value is a shuffle key.
     """
     grp = F.col(by) if by else F.lit("all")
-    counts = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(grp.alias("_grp"), F.col(col).cast("double").alias("_x"))
-        .agg(F.count("*").alias("_n"))
+    x = F.col(col).cast("double")
+    rows = df.select(grp.alias("_grp"), x.alias("_x")).filter(
+        F.col("_x").isNotNull() & ~F.isnan("_x") & (F.abs("_x") < float("inf"))
     )
     edges = (
-        counts.groupBy("_grp")
-        .agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.sum("_n").alias("_total"))
-        .filter(F.col("_total") > 0)  # keeps both uses of `counts` alike, so it is computed once
+        rows.groupBy("_grp")
+        .agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"))
         .select(
             F.col("_grp").alias("grp"),
             F.when(F.col("_a") == F.col("_b"), F.col("_a") - 0.5).otherwise(F.col("_a")).alias("lo"),
@@ -307,9 +244,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
         )
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     )
-    placed = counts.join(per_group_rows(edges), F.col("_grp") == F.col("grp"))
+    placed = rows.join(edges, F.col("_grp") == F.col("grp"))
     bin_no = F.least(F.floor((F.col("_x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
-    filled = placed.groupBy("grp", bin_no.cast("int").alias("bin")).agg(F.sum("_n").alias("n"))
+    filled = placed.groupBy("grp", bin_no.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     grid = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     out = grid.join(filled, ["grp", "bin"], "left").select(
         *([F.col("grp").alias(by)] if by else []),

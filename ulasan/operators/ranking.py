@@ -7,6 +7,7 @@ and sort only inside a bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
@@ -14,16 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_PREFIX = 3  # 4,096 buckets: the counts stay small and one bucket holds n / 4,096 rows
-MAX_GROUPS = 10_000  # labels and other grouping values whose per-group row may be broadcast
-
-
-def per_group_rows(df: DataFrame, limit: int = MAX_GROUPS) -> DataFrame:
-    """A table of one row per group, marked for broadcast; more rows than `limit` end the query."""
-    n = F.count("*").over(Window.partitionBy(F.lit(1)))
-    fits = F.when(F.col("_rows") <= limit, True).otherwise(
-        F.raise_error(F.lit(f"more than {limit} groups")).cast("boolean")
-    )
-    return F.broadcast(df.withColumn("_rows", n).filter(fits).drop("_rows"))
 
 
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -58,7 +49,6 @@ def hash_cutoffs(
     ).withColumn("bucket", F.substring("cut_hash", 1, HASH_PREFIX))
 
     per_group = Window.partitionBy("grp")
-    everything = Window.partitionBy(F.lit(1))
     counts = (
         keyed.groupBy("grp", "bucket")
         .agg(F.count("*").alias("n"))
@@ -67,12 +57,10 @@ def hash_cutoffs(
             F.sum("n").over(per_group.orderBy("bucket")).alias("upto"),
             F.sum("n").over(per_group).alias("group_n"),
         )
-        .select(
-            "*",
-            F.sum("n").over(everything).alias("total_n"),
-            F.size(F.collect_set("grp").over(everything)).alias("n_groups"),
-        )
     )
+    # A null group is not counted among the groups.
+    groups = counts.groupBy("grp").agg(F.sum("n").alias("n"))
+    counts = beside(counts, groups.agg(F.sum("n").alias("total_n"), F.count("grp").cast("int").alias("n_groups")))
     wanted = (
         counts.withColumn(
             "rank", F.explode(ranks(F.col("group_n"), F.col("total_n"), F.col("n_groups")))
@@ -86,7 +74,7 @@ def hash_cutoffs(
         )
     )
     inside = keyed.join(
-        per_group_rows(wanted),
+        wanted,
         F.col("grp").eqNullSafe(F.col("w_grp")) & (F.col("bucket") == F.col("w_bucket")),
     )
     # Rows of one key are merged before they are sorted, so a hot key is one short row.
@@ -126,7 +114,7 @@ def hash_lowest(
     )
     group = F.col(by).cast("string") if by else F.lit("all")
     taken = F.coalesce(_not_after(key, seed), F.lit(False))
-    return df.join(per_group_rows(cuts), group.eqNullSafe(F.col("_grp")), "left").select(
+    return df.join(cuts, group.eqNullSafe(F.col("_grp")), "left").select(
         *df.columns, taken.alias(flag)
     )
 
@@ -152,7 +140,7 @@ def hash_tiles(
         F.col("_cuts"),
         lambda c: (c["cut_hash"] < h) | ((c["cut_hash"] == h) & (c["cut_key"] < F.col(key))),
     )
-    return df.join(per_group_rows(cuts), group.eqNullSafe(F.col("_grp")), "left").select(
+    return df.join(cuts, group.eqNullSafe(F.col("_grp")), "left").select(
         *df.columns, F.coalesce(F.size(before), F.lit(0)).cast("int").alias(tile)
     )
 
@@ -164,12 +152,13 @@ def running_sums(
 
     `df` has one row per group and value. Values fall into ordered buckets of about equal size
     (`approxQuantile` picks the bounds, so any skew of the values is met), bucket totals become
-    offsets, and only the rows of one bucket are sorted together.
+    offsets, and only the rows of one bucket are sorted together. Null and NaN values are left out;
+    infinities are the first and last values.
     """
     by = by or []
-    df = df.filter(F.col(value).isNotNull())
+    df = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     steps = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(df.approxQuantile(value, steps, 1 / buckets)))
+    inner = sorted({x for x in df.approxQuantile(value, steps, 1 / buckets) if math.isfinite(x)})
     bounds = [float("-inf"), *inner, float("inf")]
     if len(bounds) > 2:
         bucketed = Bucketizer(splits=bounds, inputCol=value, outputCol="_bucket").transform(df)
@@ -205,14 +194,15 @@ def exact_percentiles(
     through running sums instead.
     """
     by = by or []
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    counts = df.filter(known).groupBy(*by, value).agg(F.count("*").alias("_n"))
     if dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint"):
         return counts.groupBy(*by).agg(
             *[F.percentile(value, F.lit(p), F.col("_n")).alias(name) for name, p in probs.items()]
         )
     placed = running_sums(counts, value, ["_n"], by)
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    joined = placed.join(per_group_rows(totals), by) if by else beside(placed, totals)
+    joined = placed.join(totals, by) if by else beside(placed, totals)
 
     def at(position: Column) -> Column:
         hit = (F.col("_n_below") <= position) & (position < F.col("_n_below") + F.col("_n"))
@@ -223,5 +213,6 @@ def exact_percentiles(
         target = (F.col("_total") - 1) * F.lit(p)
         low, high = at(F.floor(target)), at(F.ceil(target))
         part = F.max(target - F.floor(target))
-        out.append((low + (high - low) * part).alias(name))
+        # Equal neighbours need no interpolation, which infinities could not take.
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))
     return joined.groupBy(*by).agg(*out)

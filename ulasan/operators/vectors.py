@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -397,9 +398,17 @@ def near_duplicates(
 
 
 def cluster_centers(
-    index: DataFrame, n_clusters: int = 10, max_iter: int = 20, seed: int = 42
+    index: DataFrame,
+    n_clusters: int = 10,
+    max_iter: int = 20,
+    seed: int = 42,
+    params: IndexParams | None = None,
 ) -> DataFrame:
-    """k-means centres with the index row of greatest inner product to each."""
+    """k-means centres with the index row nearest to each, by the measure of the index's `params`.
+
+    Without parameters that is the greatest inner product.
+    """
+    params = replace(params or IndexParams(), normalize=False)
     points = index.select(array_to_vector(F.col("unit_vec").cast("array<double>")).alias("features"))
     model = KMeans(k=n_clusters, maxIter=max_iter, seed=seed).fit(points)
     spark = index.sparkSession
@@ -407,7 +416,7 @@ def cluster_centers(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "query_id long, query_vec array<double>",
     )
-    hits = search(index, centers, k=1, params=IndexParams(normalize=False))
+    hits = search(index, centers, k=1, params=params)
     rows = attach_metadata(hits, index.drop("unit_vec"), max_hits=n_clusters)
     return rows.join(F.broadcast(centers), "query_id").select(
         F.col("query_id").cast("int").alias("cluster_id"),

@@ -25,9 +25,15 @@ def local_session(cores: int | str = 8, app: str = "ulasan") -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a fresh local one only where none is set (tests)."""
+    """The shared folder the cluster names; a fresh local one only in local mode without it (tests).
+
+    On a cluster every executor would write to a disk of its own, so a missing setting raises there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ulasan-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

@@ -139,13 +139,3 @@ def save_settings(spark: SparkSession, rules: CleanRules, path: str) -> None:
 def load_settings(spark: SparkSession, path: str, current: CleanRules = CleanRules()) -> CleanRules:
     """Stored values over the current ones; absent keys keep the current value."""
     return current.updated(read_json(spark, path))
-
-
-def settings_tables(df: DataFrame, rules: CleanRules) -> DataFrame:
-    """The settings as `(setting, item, value)` rows."""
-    spark = df.sparkSession
-    values = rules.to_dict()
-    rows = [("stopword", w, "1") for w in rules.stopwords]
-    rows += [("slang", k, v) for k, v in rules.slang.items()]
-    rows += [("rule", k, str(v)) for k, v in values.items() if k not in ("stopwords", "slang")]
-    return spark.createDataFrame(rows, "setting string, item string, value string")
