@@ -104,6 +104,64 @@ def test_simhash_components(spark, docs, none):
     assert simhash.near_duplicates(none).count() == 0 == simhash.drop_near_duplicates(none).count()
 
 
+def brute_several(text, several):
+    """Two-word shingles; each further fingerprint hashes them anew by a finaliser of 64 bits."""
+    found = [w.lower() for w in (text or "").encode("utf-8").split()]
+    shingles = [b" ".join(found[i : i + 2]) for i in range(max(1, len(found) - 1))] if found else []
+    out = []
+    for k in range(several):
+        bits = Counter()
+        for x in shingles:
+            h = xxhash.xxh64_intdigest(x, 42)
+            if k:
+                h = (h + k * 0x9E3779B97F4A7C15) % 2**64
+                h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+                h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+                h ^= h >> 31
+            bits.update(b for b in range(64) if h >> b & 1)
+        out.append(sum(1 << b for b, n in bits.items() if 2 * n > len(shingles)))
+    return out
+
+
+@pytest.mark.parametrize("blocks", [None, 6])
+def test_near_copies_join_what_any_fingerprint_joins(spark, docs, none, blocks):
+    rng = np.random.default_rng(8)
+    base, texts = prose(rng, 300, 5000), []
+    for n in range(40):  # copies with up to twelve edited words, and unrelated texts
+        words = base.split()
+        for at in rng.integers(0, len(words), n % 13):
+            words[at] = f"edit{n}x{at}"
+        texts.append(" ".join(words) if n % 4 else prose(rng, 200, 5000))
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    table = docs.select("doc_id", "text").unionByName(more).unionByName(more.limit(5))
+    rows = table.collect()
+    marks = {r.doc_id: brute_several(r.text, 3) for r in rows if r.doc_id is not None}
+    near = lambda a, b: any((x ^ y).bit_count() <= 4 for x, y in zip(marks[a], marks[b]))
+    ids = sorted(marks)
+    root = closure(ids, [p for p in itertools.combinations(ids, 2) if near(*p)]) | {None: None}
+    got = simhash.near_copies(table, several=3, blocks=blocks).collect()
+    assert len(got) == len(rows) and all(r.component_id == root[r.doc_id] for r in got)
+    kept = simhash.drop_near_copies(docs, several=3)
+    assert kept.columns == docs.columns
+    assert simhash.near_copies(none).count() == 0 == simhash.drop_near_copies(none).count()
+
+
+def test_near_copies_catch_similar_texts_and_leave_others(spark):
+    rng = np.random.default_rng(9)
+    pool = rng.permutation(40_000)
+    rows, copies = [], set()
+    for i in range(60):
+        words = [f"w{x}" for x in pool[i * 400 : (i + 1) * 400]]
+        rows.append((i, " ".join(words)))
+        if i % 2:
+            for at in rng.choice(400, 8, replace=False):  # a similarity of at least 0.8
+                words[at] = f"new{i}x{at}"
+            rows.append((100 + i, " ".join(words)))
+            copies.add(100 + i)
+    kept = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(range(60)) <= kept and len(copies & kept) <= 3
+
+
 @pytest.mark.parametrize("blocks,block_rows", [(5, 16_384), (6, 16_384), (7, 40), (5, 30)])
 def test_near_links_join_what_all_pairs_join(spark, blocks, block_rows):
     rng = np.random.default_rng(blocks)

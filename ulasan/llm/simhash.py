@@ -38,30 +38,47 @@ SIGN = U64(1 << 63)
 # --- fingerprints -------------------------------------------------------------
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """SimHash over all word shingles, repeats included; no word gives zero."""
+def shingle_hashes(text: str | None, shingle: int, step: int = 1 << 16) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles in order, at most `step` at a time; a text without words has none."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return
     joined = memoryview(b" ".join(found))
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     n = max(1, len(found) - shingle + 1)
     starts, ends = starts[:n], ends[min(shingle, len(found)) - 1 :][:n]
-    digest, set_bits, step = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 1 << 16
+    digest = xxhash.xxh64_intdigest
     for at in range(0, n, step):
-        hashes = np.fromiter(
-            [
-                digest(joined[a:b], 42)
-                for a, b in zip(starts[at : at + step].tolist(), ends[at : at + step].tolist())
-            ],
-            U64,
-            min(step, n - at),
-        )
-        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        set_bits += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_bits > n).tobytes(), "big")
+        spans = zip(starts[at : at + step].tolist(), ends[at : at + step].tolist())
+        yield np.fromiter([digest(joined[a:b], 42) for a, b in spans], U64, min(step, n - at))
+
+
+def remixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Other hashes of the same shingles: number 0 is the hash itself, the rest a mix of it."""
+    if number == 0:
+        return hashes
+    x = hashes + U64(number * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
+    return x ^ (x >> U64(31))
+
+
+def several_fingerprints(text: str | None, shingle: int, several: int) -> np.ndarray:
+    """`several` SimHashes over all word shingles, repeats included; no word gives zeros."""
+    n, set_bits = 0, np.zeros((several, 64), np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        n += len(hashes)
+        for i in range(several):
+            octets = remixed(hashes, i).astype(">u8").view(np.uint8).reshape(-1, 8)
+            set_bits[i] += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * set_bits > n, axis=1).view(">u8").astype(U64).reshape(several)
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """SimHash over all word shingles, repeats included; no word gives zero."""
+    return int(several_fingerprints(text, shingle, 1)[0])
 
 
 def fingerprints(
@@ -276,7 +293,8 @@ def near_links(
 ) -> DataFrame:
     """Links `(a, b)` between ids of `fps (id long, fp long)` whose connected parts are exactly those
     of all pairs within `max_bits` bits. Both columns must be unique and not null; the frame is read
-    more than once, so hand over a stored one.
+    more than once, so hand over a stored one. With a further column `kind` (int from 0) only
+    fingerprints of the same kind meet, and both columns are unique within a kind.
     """
     if blocks is None:
         blocks = blocks_for(fps.count(), max_bits)
@@ -285,10 +303,11 @@ def near_links(
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(1).to_numpy(zero_copy_only=False).view(U64)
+            first = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int32) * len(tables)
             for t, (parts, _) in enumerate(tables):
                 ranks = gray_rank(permuted(values, parts)) ^ SIGN
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(values), t, np.int32)), pa.array(ranks.view(np.int64)), batch.column(0)],
+                    [pa.array(first + np.int32(t)), pa.array(ranks.view(np.int64)), batch.column(0)],
                     ["tab", "rank", "id"],
                 )
 
@@ -297,7 +316,7 @@ def near_links(
 
         def settle(tabs, ranks, ids, edge_before, edge_after):
             """Link inside buckets; write out those at an edge and the pieces of large ones."""
-            width = np.array([w for _, w in tables], np.int64)[tabs]
+            width = np.array([w for _, w in tables], np.int64)[tabs % len(tables)]
             keys = (ranks >> (64 - width).astype(U64)).astype(np.int64)
             new = np.r_[True, (keys[1:] != keys[:-1]) | (tabs[1:] != tabs[:-1])]
             starts = np.flatnonzero(new)
@@ -326,7 +345,7 @@ def near_links(
             if len(held[0]) < 8 * block_rows:
                 continue
             # Settle up to the start of the last bucket, which may go on in the next batch.
-            width = U64(64 - tables[int(held[0][-1])][1])
+            width = U64(64 - tables[int(held[0][-1]) % len(tables)][1])
             same = (held[0] == held[0][-1]) & ((held[1] >> width) == (held[1][-1] >> width))
             stop = int(np.argmax(same))
             if stop == 0:  # one bucket fills all that is held: its full blocks go out
@@ -347,7 +366,8 @@ def near_links(
                 a, b = linked_across(gray_word(left), gray_word(right), max_bits)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
-    dealt = fps.select("id", "fp").mapInArrow(deal, "tab int, rank long, id long")
+    kind = F.col("kind") if "kind" in fps.columns else F.lit(0).alias("kind")
+    dealt = fps.select("id", "fp", kind).mapInArrow(deal, "tab int, rank long, id long")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = stored(
         dealt.repartitionByRange(parts, "tab", "rank")
@@ -456,11 +476,67 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` (with `doc_id` and `text`) that are the smallest id of their component.
+def near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 2,
+    max_bits: int = 4,
+    several: int = 8,
+    blocks: int | None = None,
+) -> DataFrame:
+    """`(doc_id, component_id)` per row, linked where any of `several` fingerprints is near.
+
+    A copy with a five-word similarity of 0.8 shares nine tenths of its four-word shingles, so one
+    fingerprint of them differs in about eight bits and few such copies are within four. Two-word
+    shingles suffer half as much from an edit, and each independent fingerprint is another chance,
+    while unrelated texts stay about thirty bits apart. Nulls, ties, empty texts and tables behave as in
+    `near_duplicates`; rows whose fingerprints are all equal are one node.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
+        for batch in batches:
+            values = [
+                several_fingerprints(t.as_py(), shingle, several).view(np.int64) for t in batch.column(1)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind)], ["doc_id", "fps"])
+
+    rows = two_columns(docs, id_col, text_col)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    marked = stored(rows.mapInArrow(run, f"doc_id {id_type}, fps array<long>"), "simhash")
+    distinct = stored(
+        marked.where("doc_id IS NOT NULL").groupBy("fps").agg(F.min("doc_id").cast("long").alias("id")),
+        "simhash-distinct",
+    )
+    each = distinct.select("id", F.posexplode("fps").alias("kind", "fp"))
+    first = stored(each.groupBy("kind", "fp").agg(F.min("id").alias("id")), "simhash-kinds")
+    same = each.join(first.withColumnRenamed("id", "b"), ["kind", "fp"]).select(F.col("id").alias("a"), "b")
+    if blocks is None:
+        blocks = blocks_for(distinct.count(), max_bits)
+    roots = components(near_links(first, max_bits, blocks).unionByName(same))
+    groups = distinct.join(roots, distinct["id"] == roots["node"], "left").select(
+        F.col("fps").alias("_fps"), F.coalesce("root", "id").alias("_root")
+    )
+    return marked.join(groups, F.col("fps") == F.col("_fps"), "left").select(
+        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("_root")).alias("component_id")
+    )
+
+
+def smallest_only(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of `docs` (with `doc_id`) that are the smallest id of their component in `groups`.
 
     Rows without an id are kept, as nothing can be said of them. Columns stay as they are.
     """
-    groups = near_duplicates(docs, **options)
     gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The smallest id of each component of `near_duplicates`."""
+    return smallest_only(docs, near_duplicates(docs, **options))
+
+
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """The smallest id of each component of `near_copies`."""
+    return smallest_only(docs, near_copies(docs, **options))
