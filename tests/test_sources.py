@@ -81,7 +81,7 @@ def test_settings_keep_absent_keys(spark):
 
 
 def test_index_round_trip(spark, sf):
-    params = IndexParams(index_type="l2", normalize=False, block_rows=77)
+    params = IndexParams(index_type="l2", normalize=False, max_query_rows=77)
     index = vx.build_index(src.vectors(spark, sf), params=params)
     path = scratch_path(spark, "index")
     stores.save_index(index, path, params)

@@ -6,7 +6,7 @@ from ulasan.functions import vector as vf
 from ulasan.operators import vectors as vx
 from ulasan.settings import IndexParams
 
-BLOCKS = IndexParams(max_query_rows=0, block_rows=8)
+BLOCKS = IndexParams(max_query_rows=40)
 
 
 def frame(spark, vecs, ids=None):
@@ -60,7 +60,7 @@ def test_search_matches_brute_force_with_ties(spark, params):
 def test_search_l2_and_clamping(spark, block):
     v = clustered(40)
     raw = frame(spark, v).withColumnRenamed("embedding", "unit_vec")
-    params = IndexParams(index_type="l2", normalize=False, max_query_rows=0 if block else 10, block_rows=4)
+    params = IndexParams(index_type="l2", normalize=False, max_query_rows=1 if block else 10)
     q = spark.createDataFrame([(9, [float(x) for x in v[3]])], "query_id long, query_vec array<float>")
     rows = vx.search(raw, q, 1000, params).orderBy("rank").collect()
     d = ((v.astype(float) - v[3].astype(float)) ** 2).sum(1)
@@ -85,21 +85,56 @@ def pairs_by_hand(v, t):
     return links | {(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if sims[a, b] > t}
 
 
-@pytest.mark.parametrize("block_rows,t", [(4096, 0.95), (4, 0.95), (4, 0.6), (4, 0.0), (16, 0.99)])
-def test_near_duplicates_are_complete(spark, block_rows, t):
+@pytest.mark.parametrize("rows,t", [(4096, 0.95), (60, 0.95), (60, 0.6), (60, 0.0), (90, 0.99)])
+def test_near_duplicates_are_complete(spark, rows, t):
     v = clustered(300)
     v[200:260] = v[5]  # a hot group of copies
-    got = vx.near_duplicates(vx.build_index(frame(spark, v)), t, params=IndexParams(block_rows=block_rows))
+    got = vx.near_duplicates(vx.build_index(frame(spark, v)), t, params=IndexParams(max_query_rows=rows))
     rows = [(r["i"], r["j"]) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == pairs_by_hand(v, t)
+    assert got.where("kind = 'copy'").count() >= 59
 
 
-@pytest.mark.parametrize("block_rows", [4096, 4])
-def test_knn10_matches_the_definition(spark, block_rows):
+@pytest.mark.parametrize("d", [64, 768])
+def test_banded_pairs_are_exact_and_nearly_complete(spark, d):
+    v = clustered(400, d, centers=40, noise=0.02)
+    v[200:230] = v[5]
+    index = vx.build_index(frame(spark, v))
+    got = {(r["i"], r["j"]) for r in vx.near_duplicates(index, 0.95, mode="banded").collect()}
+    want = pairs_by_hand(v, 0.95)
+    assert got <= want and len(got) >= 0.98 * len(want)
+
+
+@pytest.mark.parametrize("d", [64, 768])
+def test_vectors_are_copied_to_no_block(spark, d):
+    """A vector is written once as an item and once in its chunk, however many chunks there are."""
+    index = vx.build_index(frame(spark, clustered(200, d, centers=40)))
+    chunked, chunks = vx._chunked(index, "vec_id", "unit_vec", IndexParams(max_query_rows=20))
+    assert chunks == 10 and chunked.count() == 200
+    bits, bands = vx.bands_for(10**9, 0.95, 0.99)
+    assert bits == 30 and bands < 128  # keys of 20 bytes, not vectors
+
+
+def test_queries_are_encoded_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    index = vx.build_index(frame(spark, clustered(60)))
+    asked = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    asked = asked.mapInArrow(count, "query_id long, query_vec array<float>")
+    assert vx.search(index, asked, 3, BLOCKS).count() == 180 and seen.value == 60
+
+
+@pytest.mark.parametrize("rows", [4096, 60])
+def test_knn10_matches_the_definition(spark, rows):
     v = clustered(250)
     v[150:200] = v[3]
     got = vx.near_duplicates(
-        vx.build_index(frame(spark, v)), 0.9, mode="knn10", params=IndexParams(block_rows=block_rows)
+        vx.build_index(frame(spark, v)), 0.9, mode="knn10", params=IndexParams(max_query_rows=rows)
     )
     u = stored_unit(v)
     sims = u @ u.T
@@ -127,7 +162,7 @@ def test_metadata_and_names(spark):
     meta = v.select("vec_id", F.concat(F.lit("text "), "vec_id").alias("review"), F.lit("c").alias("review_clean"))
     index = vx.build_index(v, meta)
     q = index.filter("vec_id = 4").select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
-    top = vx.ranked_hits(vx.search(index, q, 2), index.drop("unit_vec"), max_hits=2).orderBy("rank").head()
+    top = vx.ranked_hits(vx.search(index, q, 2), index.drop("unit_vec")).orderBy("rank").head()
     assert (top["vec_id"], top["text"], top["sentiment"], top["rank"]) == (4, "text 4", "Negative", 1)
     assert top["similarity"] == pytest.approx(1.0)
 

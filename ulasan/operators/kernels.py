@@ -71,45 +71,16 @@ class TopK:
         return pos.astype(np.int64), ids.astype(np.int64), -score if self.l2 else score
 
 
-def cells_to_visit(v: np.ndarray, pivots: np.ndarray, angle: float):
-    """Home cell of each vector (nearest pivot), and the later cells that may hold a partner.
+def pairs_above(left_ids, left, right_ids, right, later, threshold: float, step: int = 512):
+    """Batches of (i, j, similarity) with i < j above the threshold.
 
-    For unit vectors within `angle` of each other, the partner's home pivot is at most `2 * angle`
-    farther away than the own one (triangle inequality), so every other cell is ruled out.
+    A right row that is not `later` belongs to the same block, so it meets lower ids only.
     """
-    angles = np.arccos(np.clip(v @ pivots.T, -1.0, 1.0))
-    home = np.argmin(angles, axis=1)
-    near = angles - angles[np.arange(len(v)), home][:, None] <= 2.0 * angle + 1e-6
-    near &= np.arange(len(pivots))[None, :] > home[:, None]
-    return home, np.nonzero(near)
-
-
-def pairs_above(left_ids, left, right_ids, right, threshold: float, same: bool, step: int = 512):
-    """Batches of (i, j, similarity) with i < j above the threshold."""
     for lo in range(0, len(left), step):
         sims = left[lo : lo + step] @ right.T
         a, b = np.nonzero(sims > threshold)
-        if same:
-            keep = a + lo < b
-            a, b = a[keep], b[keep]
-        if len(a):
-            i, j = left_ids[a + lo], right_ids[b]
+        i, j = left_ids[a + lo], right_ids[b]
+        keep = later[b] | (i < j)
+        if keep.any():
+            a, b, i, j = a[keep], b[keep], i[keep], j[keep]
             yield np.minimum(i, j), np.maximum(i, j), sims[a, b]
-
-
-def nearest_above(ids, rows, other_ids, others, threshold: float, k: int, step: int = 512):
-    """Batches of directed (i, j, similarity): the k best partners of each row above the threshold."""
-    for lo in range(0, len(rows), step):
-        sims = rows[lo : lo + step] @ others.T
-        out_i, out_j, out_s = [], [], []
-        for at, row in enumerate(sims, start=lo):
-            cand = np.flatnonzero(row > threshold)
-            if len(cand) > k:
-                floor = np.partition(row[cand], -k)[-k] - 10.0**-TIE_DIGITS
-                cand = cand[row[cand] >= floor]
-                order = np.lexsort((other_ids[cand], -np.round(row[cand], TIE_DIGITS)))[:k]
-                cand = cand[order]
-            out_i.append(np.full(len(cand), ids[at]))
-            out_j.append(other_ids[cand])
-            out_s.append(row[cand])
-        yield np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out_s)

@@ -4,28 +4,27 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ulasan.functions.text import label_name
-from ulasan.functions.vector import l2_normalize
+from ulasan.functions.vector import cosine, l2_normalize
 from ulasan.operators import kernels
-from ulasan.operators.ranking import hash_order
 from ulasan.operators.sampling import random_sample
-from ulasan.session import stored
+from ulasan.session import scratch_path, stored
 from ulasan.settings import IndexParams
 
 HITS = "query_id long, vec_id long, score double"
 PAIRS = "i long, j long, similarity double"
-MAX_PIVOTS = 256
-KNN = 10  # neighbours looked at by the k-nearest form of the near-duplicate search
+KNN = 10  # neighbours looked at by the k-nearest form of the near-duplicate search, by default
 
 
 def _is_l2(params: IndexParams) -> bool:
@@ -98,70 +97,53 @@ def index_statistics(index: DataFrame, params: IndexParams = IndexParams(), labe
     )
 
 
-# --- top-k search -----------------------------------------------------------
-
-
-def _search_broadcast(index, vec, rows: pa.Table, k, normalize, l2) -> DataFrame:
-    """The bounded query block goes to every task; each task keeps its own k best per query."""
-    block = (rows.column(0).to_numpy(), kernels.matrix(rows.column(1), normalize))
-    shared = index.sparkSession.sparkContext.broadcast(block)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q = shared.value
-        top = kernels.TopK(q, k, l2)
-        for b in batches:
-            b = b.filter(b.column(1).is_valid())
-            if b.num_rows:
-                top.add(b.column(0).to_numpy(), kernels.matrix(b.column(1), normalize))
-        pos, vec_id, score = top.rows()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[pos]), pa.array(vec_id), pa.array(score)], ["query_id", "vec_id", "score"]
-        )
+# --- chunks of a stored side --------------------------------------------------
 
-    return index.select("vec_id", vec).mapInArrow(scan, HITS)
 
+def _chunked(rows: DataFrame, key: str, vec: str, params: IndexParams) -> tuple[DataFrame, int]:
+    """`rows` (key, vec) without null vectors, stored by a column `chunk`, and the number of chunks.
 
-def _upto(n: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-
-
-def _search_blocks(index, vec, queries, qvec, k, normalize, l2, block) -> DataFrame:
-    """Both sides in hash blocks; every query block meets every index block in its own task.
-
-    The queries are stored first, as they are often the end of a long plan. Small inputs are cut
-    finer, so that all cores have a block pair.
+    A chunk is about `max_query_rows` rows or `max_broadcast_bytes` of float32, whichever is less, so
+    it can be held by every task. The rows are often the end of a long plan: they are computed once.
     """
-    queries = stored(queries, "queries").filter(F.col(qvec).isNotNull())
-    index = index.filter(F.col(vec).isNotNull())
-    ni = max(1, math.ceil(index.count() / block))
-    cores = index.sparkSession.sparkContext.defaultParallelism
-    nq = max(1, math.ceil(queries.count() / block), math.ceil(cores / ni))
-    q = queries.select(
-        F.lit(True).alias("is_query"),
-        F.col("query_id").alias("id"),
-        F.col(qvec).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64("query_id"), F.lit(nq)).alias("qb"),
-        F.explode(_upto(ni)).alias("ib"),
-    )
-    v = index.select(
-        F.lit(False).alias("is_query"),
-        F.col("vec_id").alias("id"),
-        F.col(vec).cast("array<double>").alias("v"),
-        F.explode(_upto(nq)).alias("qb"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(ni)).alias("ib"),
+    rows = stored(rows.select(key, vec), "rows")
+    shape = rows.where(F.col(vec).isNotNull()).agg(F.count("*"), F.max(F.size(vec))).first()
+    held = max(1, min(params.max_query_rows, params.max_broadcast_bytes // (4 * max(1, shape[1] or 0))))
+    chunks = max(1, math.ceil(shape[0] / held))
+    if chunks == 1:
+        return rows.where(F.col(vec).isNotNull()).withColumn("chunk", F.lit(0)), 1
+    path = scratch_path(rows.sparkSession, "chunks")
+    (
+        rows.where(F.col(vec).isNotNull())
+        .withColumn("chunk", F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int"))
+        .repartition("chunk")
+        .write.partitionBy("chunk")
+        .parquet(path)
     )
+    return rows.sparkSession.read.parquet(path), chunks
+
+
+def _per_chunk(
+    chunked: DataFrame,
+    chunks: int,
+    key: str,
+    vec: str,
+    normalize: bool,
+    meet: Callable[[int, Broadcast], DataFrame],
+) -> DataFrame:
+    """What `meet` finds for each chunk, stored chunk by chunk, so one chunk at a time is broadcast."""
+    spark = chunked.sparkSession
+    path = scratch_path(spark, "found")
+    for c in range(chunks):
+        rows = chunked.where(F.col("chunk") == c).select(key, vec).toArrow()
+        vecs = kernels.matrix(rows.column(1), normalize) if rows.num_rows else np.zeros((0, 1))
+        shared = spark.sparkContext.broadcast((rows.column(0).to_numpy(), vecs))
+        meet(c, shared).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.parquet(path)
 
-    def meet(rows: pa.Table) -> pa.Table:
-        is_query = rows.column("is_query").to_numpy()
-        ids = rows.column("id").to_numpy()
-        vecs = kernels.matrix(rows.column("v"), normalize)
-        top = kernels.TopK(vecs[is_query], k, l2)
-        if (~is_query).any():
-            top.add(ids[~is_query], vecs[~is_query])
-        pos, vec_id, score = top.rows()
-        return pa.table({"query_id": ids[is_query][pos], "vec_id": vec_id, "score": score})
 
-    return q.unionByName(v).groupBy("qb", "ib").applyInArrow(meet, HITS)
+# --- top-k search -----------------------------------------------------------
 
 
 def search(
@@ -174,44 +156,46 @@ def search(
 ) -> DataFrame:
     """Exact top-k rows per query: `query_id, rank, vec_id, similarity` (or `distance` for L2).
 
-    A query set within `max_query_rows` and `max_broadcast_bytes` is sent to all tasks that scan
-    the index, which is then never shuffled. A larger one is met block by block instead. Ties go to the lower `vec_id`;
-    `k` is at least one, and a small index gives fewer rows. Rows without a vector take no part.
+    The queries are stored once and sent chunk by chunk to the tasks that scan the index in place;
+    each task keeps its own k best per query. Neither side is shuffled or copied, and only hits are
+    ranked. Ties go to the lower `vec_id`; `k` is at least one, and a small index gives fewer rows.
+    Rows without a vector take no part.
     """
     k, l2 = max(1, k), _is_l2(params)
-    queries = queries.select("query_id", qvec)
-    rows = queries.limit(params.max_query_rows + 1).toArrow()
-    if rows.num_rows <= params.max_query_rows and rows.nbytes <= params.max_broadcast_bytes:
-        # A null test as a column filter would compute the vectors twice.
-        rows = rows.filter(rows.column(1).is_valid())
-        found = _search_broadcast(index, vec, rows, k, params.normalize, l2)
-    else:
-        found = _search_blocks(
-            index, vec, queries, qvec, k, params.normalize, l2, 8 * params.block_rows
-        )
+    chunked, chunks = _chunked(queries, "query_id", qvec, params)
     nearest = F.round("score", kernels.TIE_DIGITS)
     order = Window.partitionBy("query_id").orderBy(nearest if l2 else nearest.desc(), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", F.col("score").alias("distance" if l2 else "similarity"))
-    )
 
+    def meet(_: int, shared: Broadcast) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, q = shared.value
+            top = kernels.TopK(q, k, l2)
+            for b in batches:
+                b = b.filter(b.column(1).is_valid())
+                if b.num_rows and len(ids):
+                    top.add(b.column(0).to_numpy(), kernels.matrix(b.column(1), params.normalize))
+            pos, vec_id, score = top.rows()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[pos]), pa.array(vec_id), pa.array(score)], ["query_id", "vec_id", "score"]
+            )
 
-def attach_metadata(hits: DataFrame, metadata: DataFrame, max_hits: int | None = None) -> DataFrame:
-    """Hits with their rows; hits without a row are dropped.
+        found = index.select("vec_id", vec).mapInArrow(scan, HITS)
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    `max_hits` is the caller's bound on the number of hits (queries times k). Within one million
-    the hits are broadcast, so the metadata is not shuffled.
-    """
-    side = F.broadcast(hits) if max_hits is not None and max_hits <= 1_000_000 else hits
-    return side.join(metadata, "vec_id")
+    return _per_chunk(chunked, chunks, "query_id", qvec, params.normalize, meet).select(
+        "query_id", "rank", "vec_id", F.col("score").alias("distance" if l2 else "similarity")
+    )
 
 
-def ranked_hits(hits: DataFrame, metadata: DataFrame, max_hits: int | None = None) -> DataFrame:
+def attach_metadata(hits: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Hits with their rows; hits without a row are dropped."""
+    return hits.join(metadata, "vec_id")
+
+
+def ranked_hits(hits: DataFrame, metadata: DataFrame) -> DataFrame:
     """Rank, score, text, clean text, label name and label of every hit."""
     score = "similarity" if "similarity" in hits.columns else "distance"
-    joined = attach_metadata(hits, metadata, max_hits)
+    joined = attach_metadata(hits, metadata)
     return joined.select(
         "query_id",
         "rank",
@@ -232,105 +216,78 @@ def capped_queries(queries: DataFrame, cap: int = 10, row_index: str = "row_inde
 # --- near duplicates --------------------------------------------------------
 
 
-def _tasks(rows: DataFrame) -> DataFrame:
-    """Send each row to the block pairs it takes part in.
+def _pairs_by_blocks(items: DataFrame, threshold: float, params: IndexParams) -> DataFrame:
+    """Every pair above the threshold: chunk after chunk meets the rows of its own and later chunks."""
+    chunked, chunks = _chunked(items, "vec_id", "unit_vec", params)
 
-    `rows` has `cell, visitor, s, t` where `s` and `t` are the block counts of the cell's own rows
-    and of its visitors. Own blocks meet each other and every visitor block.
-    """
-    h = F.xxhash64("vec_id")
-    own = F.pmod(h, F.col("s")).cast("int")
-    guest = (F.col("s") + F.pmod(h, F.greatest("t", F.lit(1)))).cast("int")
-    out = rows.withColumn("blk", F.when(F.col("visitor"), guest).otherwise(own))
-    all_own = F.sequence(F.lit(0), (F.col("s") - 1).cast("int"))
-    everyone = F.sequence(F.lit(0), (F.col("s") + F.col("t") - 1).cast("int"))
-
-    def pair(x, y):
-        return F.struct(x.alias("x"), y.alias("y"))
-
-    blk = F.col("blk")
-    forward = F.transform(F.filter(everyone, lambda y: y >= blk), lambda y: pair(blk, y))
-    back = F.transform(F.filter(all_own, lambda x: x < blk), lambda x: pair(x, blk))
-    as_guest = F.transform(all_own, lambda x: pair(x, blk))
-    tasks = F.when(F.col("visitor"), as_guest).otherwise(F.concat(forward, back))
-    return out.withColumn("task", F.explode(tasks)).select(
-        "cell", "task.x", "task.y", "blk", "vec_id", "unit_vec"
-    )
+    def meet(c: int, shared: Broadcast) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, held = shared.value
+            for b in batches:
+                if not b.num_rows or not len(ids):
+                    continue
+                later = b.column(2).to_numpy() > c
+                found = kernels.pairs_above(
+                    ids, held, b.column(0).to_numpy(), kernels.matrix(b.column(1), True), later, threshold
+                )
+                for cols in found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["i", "j", "similarity"])
 
+        rows = chunked.where(F.col("chunk") >= c).select("vec_id", "unit_vec", "chunk")
+        return rows.mapInArrow(scan, PAIRS)
 
-def _place(items: DataFrame, n_upper: int, threshold: float, block: int) -> DataFrame:
-    """Rows with their cell and block counts; many rows are first split by pivot cells."""
-    n_pivots = min(MAX_PIVOTS, n_upper // (4 * block))
-    if n_pivots < 2:
-        return items.select(
-            "vec_id",
-            "unit_vec",
-            F.lit(0).alias("cell"),
-            F.lit(False).alias("visitor"),
-            F.lit(max(1, math.ceil(n_upper / block))).cast("long").alias("s"),
-            F.lit(0).cast("long").alias("t"),
-        )
-    chosen = items.select("unit_vec").orderBy(hash_order("vec_id"), "vec_id").limit(n_pivots).toArrow()
-    shared = items.sparkSession.sparkContext.broadcast(kernels.matrix(chosen.column(0), True))
-    angle = math.acos(min(1.0, threshold))
+    return _per_chunk(chunked, chunks, "vec_id", "unit_vec", True, meet)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            home, (row, cell) = kernels.cells_to_visit(
-                kernels.matrix(b.column(1), True), shared.value, angle
-            )
-            take = pa.array(np.concatenate([np.arange(len(home)), row]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0).take(take),
-                    b.column(1).take(take),
-                    pa.array(np.concatenate([home, cell]).astype(np.int32)),
-                    pa.array(np.arange(len(take)) >= len(home)),
-                ],
-                ["vec_id", "unit_vec", "cell", "visitor"],
-            )
 
-    schema = "vec_id long, unit_vec array<float>, cell int, visitor boolean"
-    placed = stored(items.select("vec_id", "unit_vec").mapInArrow(assign, schema), "cells")
-    sizes = placed.groupBy("cell").agg(
-        F.ceil(F.count_if(~F.col("visitor")) / block).alias("s"),
-        F.ceil(F.count_if(F.col("visitor")) / block).alias("t"),
+def bands_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
+    """Sign bits per band and number of bands for n vectors.
+
+    A band has about as many buckets as there are vectors. A random plane separates two vectors at
+    the threshold with chance angle / pi, which gives the bands needed for the recall there; pairs above
+    it are found more often.
+    """
+    bits = min(60, max(4, math.ceil(math.log2(max(2, n)))))
+    together = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-together)))
+
+
+def _pairs_by_bands(items: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
+    """Pairs that share a bucket of random planes in some band, tested by their exact cosine.
+
+    Only keys and ids are copied to the bands; a vector is read by its own row and by its candidates.
+    """
+    items = stored(items, "items")
+    n, dim = items.agg(F.count("*"), F.max(F.size("unit_vec"))).first()
+    bits, bands = bands_for(n, threshold, recall)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = np.random.default_rng(seed).normal(size=(dim or 1, bands * bits))
+        powers = np.int64(1) << np.arange(bits, dtype=np.int64)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                above = (kernels.matrix(b.column(1), False) @ planes > 0).reshape(b.num_rows, bands, bits)
+                keys = (above * powers).sum(axis=2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(b.column(0).to_numpy(), bands)),
+                        pa.array(np.tile(np.arange(bands, dtype=np.int32), b.num_rows)),
+                        pa.array(keys.reshape(-1)),
+                    ],
+                    ["id", "band", "key"],
+                )
+
+    keys = stored(items.select("vec_id", "unit_vec").mapInArrow(sign, "id long, band int, key long"), "bands")
+    a, b = keys.withColumnRenamed("id", "i"), keys.withColumnRenamed("id", "j")
+    candidates = a.join(b, ["band", "key"]).where("i < j").select("i", "j").distinct()
+    left = items.select(F.col("vec_id").alias("i"), F.col("unit_vec").alias("_a"))
+    right = items.select(F.col("vec_id").alias("j"), F.col("unit_vec").alias("_b"))
+    return (
+        candidates.join(left, "i")
+        .join(right, "j")
+        .select("i", "j", cosine(F.col("_a"), F.col("_b")).alias("similarity"))
+        .where(F.col("similarity") > threshold)
     )
-    # At most one row per pivot.
-    return placed.join(F.broadcast(sizes), "cell").filter(F.col("s") > 0)
-
-
-def _block_join(items: DataFrame, n_upper: int, threshold: float, block: int, k: int | None) -> DataFrame:
-    """Pairs above the threshold, or with `k` the k best directed neighbours per row and task."""
-
-    def out(cols) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["i", "j", "similarity"])
-
-    def meet(
-        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[pa.RecordBatch]:
-        _, x, y = (s.as_py() for s in key)
-        rows = pa.Table.from_batches(list(batches))
-        ids, blk = rows.column("vec_id").to_numpy(), rows.column("blk").to_numpy()
-        v = kernels.matrix(rows.column("unit_vec"), True)
-        left, right = blk == x, blk == y
-        a, b = (ids[left], v[left]), (ids[right], v[right])
-        if k is None:
-            order = np.argsort(a[0]) if x == y else None
-            if order is not None:
-                a = b = (a[0][order], a[1][order])
-            found = kernels.pairs_above(*a, *b, threshold, x == y)
-        else:
-            found = [*kernels.nearest_above(*a, *b, threshold, k)]
-            if x != y:
-                found += kernels.nearest_above(*b, *a, threshold, k)
-        for cols in found:
-            yield out(cols)
-
-    placed = _tasks(_place(items, n_upper, threshold, block))
-    return placed.groupBy("cell", "x", "y").applyInArrow(meet, PAIRS)
 
 
 def near_duplicates(
@@ -338,51 +295,59 @@ def near_duplicates(
     threshold: float = 0.95,
     mode: str = "pairs",
     params: IndexParams = IndexParams(),
+    recall: float = 0.99,
+    k: int = KNN,
+    seed: int = 42,
 ) -> DataFrame:
-    """Near-duplicate pairs `(i, j, similarity)` with `i < j` and cosine above the threshold.
+    """Near-duplicate pairs `(i, j, similarity, kind)` with `i < j` and cosine above the threshold.
 
     `pairs`: exact copies are merged first. Every pair of distinct vectors above the threshold is
-    returned once, between the lowest ids of both vectors, and each further copy is linked to the
-    lowest id of its own vector with similarity 1. A group of m copies thus gives m - 1 rows, from
-    which all its pairs follow, and no task meets the whole group.
-
-    `knn10`: the ten nearest of each row by similarity then id, the first dropped as the row
-    itself. Of one group of copies only the ten lowest ids can be among anyone's ten nearest, and a
-    later copy has no partner above its own id, so the rest is left out before the join.
+    returned once, between the lowest ids of both vectors (kind `near`), and each further copy is linked
+    to the lowest id of its own vector with similarity 1 (kind `copy`). A group of m copies thus gives
+    m - 1 rows, from which all its pairs follow, and no task meets the whole group. The work is
+    quadratic, but a vector is stored once and broadcast once.
+
+    `banded`: the same rows, with pairs of distinct vectors looked for in bands of random planes. Each
+    pair at the threshold is found with chance `recall`, closer ones more surely; what is returned is
+    exact. This is the form for large tables.
+
+    `knn10`: the `k` (ten) nearest of each row by similarity then id, the first dropped as the row
+    itself. Of one group of copies only the k lowest ids can be among anyone's k nearest, and a
+    later copy has no partner above its own id, so the rest is left out before the search.
     """
     if _is_l2(params):
         raise ValueError("near duplicates need an inner-product index")
     if not 0 <= threshold < 1:
         raise ValueError("threshold must be in [0, 1)")
     base = index.select("vec_id", "unit_vec").filter(F.col("unit_vec").isNotNull())
-    n_upper, block = base.count(), params.block_rows
-    many = n_upper >= 8 * block
 
     if mode == "knn10":
         copies = Window.partitionBy("unit_vec").orderBy("vec_id")
-        items = base.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= KNN)
-        items = items.select("vec_id", "unit_vec")
-        items = stored(items, "items") if many else items
-        near = _block_join(items, n_upper, threshold, block, KNN)
-        by_rank = Window.partitionBy("i").orderBy(
-            F.round("similarity", kernels.TIE_DIGITS).desc(), "j"
-        )
+        items = base.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k)
+        items = stored(items.select("vec_id", "unit_vec"), "items")
+        asking = items.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
         return (
-            near.withColumn("rank", F.row_number().over(by_rank))
-            .filter((F.col("rank") <= KNN) & (F.col("rank") > 1) & (F.col("i") < F.col("j")))
-            .select("i", "j", "similarity")
+            search(items, asking, k, replace(params, normalize=True))
+            .where((F.col("rank") > 1) & (F.col("similarity") > threshold) & (F.col("query_id") < F.col("vec_id")))
+            .select(
+                F.col("query_id").alias("i"), F.col("vec_id").alias("j"), "similarity", F.lit("near").alias("kind")
+            )
         )
-    if mode != "pairs":
+    if mode not in ("pairs", "banded"):
         raise ValueError(f"unknown mode: {mode}")
 
-    groups = base.groupBy("unit_vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    groups = stored(groups, "groups") if many else groups
+    groups = stored(
+        base.groupBy("unit_vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "groups"
+    )
     items = groups.select(F.col("rep").alias("vec_id"), "unit_vec")
-    near = _block_join(items, n_upper, threshold, block, None)
+    if mode == "pairs":
+        near = _pairs_by_blocks(items, threshold, params)
+    else:
+        near = _pairs_by_bands(items, threshold, recall, seed)
     # Rows of one hot vector are spread over several join keys.
     salts = 32
     copied = groups.filter(F.col("n") > 1).select(
-        "unit_vec", "rep", F.explode(_upto(salts)).alias("salt")
+        "unit_vec", "rep", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")).alias("salt")
     )
     salted = base.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts)))
     nonzero = F.exists("unit_vec", lambda x: x != 0)
@@ -391,7 +356,7 @@ def near_duplicates(
         .filter((F.col("vec_id") > F.col("rep")) & nonzero)
         .select(F.col("rep").alias("i"), F.col("vec_id").alias("j"), F.lit(1.0).alias("similarity"))
     )
-    return near.unionByName(links)
+    return near.withColumn("kind", F.lit("near")).unionByName(links.withColumn("kind", F.lit("copy")))
 
 
 # --- clusters, benchmark ----------------------------------------------------
@@ -417,7 +382,7 @@ def cluster_centers(
         "query_id long, query_vec array<double>",
     )
     hits = search(index, centers, k=1, params=params)
-    rows = attach_metadata(hits, index.drop("unit_vec"), max_hits=n_clusters)
+    rows = attach_metadata(hits, index.drop("unit_vec"))
     return rows.join(F.broadcast(centers), "query_id").select(
         F.col("query_id").cast("int").alias("cluster_id"),
         F.col("query_vec").cast("array<float>").alias("centroid"),

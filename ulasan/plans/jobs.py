@@ -92,14 +92,14 @@ def score_text(spark: SparkSession, run: TrainedRun, text: str) -> DataFrame:
     return score(run, row)[0]
 
 
-def search_texts(run: TrainedRun, queries: DataFrame, k: int = 5, max_hits: int | None = None) -> DataFrame:
+def search_texts(run: TrainedRun, queries: DataFrame, k: int = 5) -> DataFrame:
     """Ranked index rows for `(query_id, review)` texts, cleaned like the training text."""
     if run.index is None:
         raise ValueError("the run has no index")
     cleaned = prepare.with_clean(queries, run.rules)
     vecs = ft.to_array(ft.encode(run.encoder, cleaned), out="query_vec").select("query_id", "query_vec")
     hits = vectors.search(run.index, vecs, k, run.index_params)
-    return vectors.ranked_hits(hits, run.index.drop("unit_vec"), max_hits)
+    return vectors.ranked_hits(hits, run.index.drop("unit_vec"))
 
 
 def score_with_neighbours(
@@ -112,7 +112,7 @@ def score_with_neighbours(
     scored, _ = score(run, df)
     asking = df if cap is None else vectors.capped_queries(df, cap)
     queries = asking.select(F.col("row_index").alias("query_id"), "review")
-    hits = search_texts(run, queries, k, None if cap is None else cap * k)
+    hits = search_texts(run, queries, k)
     nested = hits.groupBy(F.col("query_id").alias("row_index")).agg(
         F.sort_array(
             F.collect_list(F.struct("rank", "vec_id", "similarity", "text", "sentiment"))

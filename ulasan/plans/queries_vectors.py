@@ -11,6 +11,7 @@ from ulasan.operators.ranking import beside
 from ulasan.plans import sqltext as s
 from ulasan.plans.catalog import query, rounded
 from ulasan.plans.queries_text import SCORED, scored
+from ulasan.session import stored
 from ulasan.settings import IndexParams
 from ulasan.sources import tables as src
 
@@ -125,7 +126,7 @@ def v2(spark, sf):
 )
 def v2_blocks(spark, sf):
     """The same search as if the query set were too large to be sent to every task."""
-    params = IndexParams(max_broadcast_bytes=0, block_rows=32)
+    params = IndexParams(max_query_rows=64)
     return _hits(vx.search(index(spark, sf), all_queries(spark, sf), 5, params), "similarity")
 
 
@@ -259,8 +260,54 @@ def v6(spark, sf):
 
 @query("v6_near_duplicates_cells", PAIRS)
 def v6_cells(spark, sf):
-    """The same join on the path of large tables: pivot cells, visitors and small blocks."""
-    return _pairs(vx.near_duplicates(copied_index(spark, sf), 0.35, params=IndexParams(block_rows=16)))
+    """The same join in several chunks, as on large tables."""
+    idx = stored(copied_index(spark, sf), "copied")
+    params = IndexParams(max_query_rows=max(1, idx.count() // 5))
+    return _pairs(vx.near_duplicates(idx, 0.35, params=params))
+
+
+@query(
+    "v6_near_duplicates_kinds",
+    f"WITH {COPIED}, g AS (SELECT u, min(vec_id) AS rep FROM copied GROUP BY u) "
+    "SELECT 'near' AS kind, count(*) AS n FROM g a JOIN g b ON a.rep < b.rep WHERE list_cosine_similarity(a.u, b.u) > 0.35 "
+    "HAVING count(*) > 0 UNION ALL SELECT 'copy', count(*) FROM copied c JOIN g USING (u) WHERE c.vec_id > g.rep",
+)
+def v6_kinds(spark, sf):
+    return vx.near_duplicates(copied_index(spark, sf), 0.35).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+# Every vector beside one that is shrunk or stretched in places, at a cosine of about 0.97.
+BENT = (
+    "bent AS (SELECT vec_id + 1000000 AS vec_id, list_transform(range(1, len(e) + 1), "
+    "lambda i: CASE (i + vec_id) % 4 WHEN 0 THEN e[i] * 0.6 WHEN 1 THEN e[i] * 1.2 ELSE e[i] END) AS e FROM e)"
+)
+
+
+@query(
+    "v6_banded_recall",
+    f"WITH {E}, {BENT}, every AS (SELECT * FROM e UNION ALL SELECT * FROM bent) "
+    "SELECT count(*) AS n_exact, TRUE AS is_recalled, TRUE AS is_exact FROM every a JOIN every b ON a.vec_id < b.vec_id "
+    "WHERE list_cosine_similarity(a.e, b.e) > 0.9",
+)
+def v6_banded(spark, sf):
+    """Of all pairs above 0.9 the banded form finds at least 95 %, and no others."""
+    bent = F.transform(
+        "embedding",
+        lambda x, i: F.when(F.pmod(i + 1 + F.col("vec_id"), F.lit(4)) == 0, x * 0.6)
+        .when(F.pmod(i + 1 + F.col("vec_id"), F.lit(4)) == 1, x * 1.2)
+        .otherwise(x),
+    )
+    e = embeddings(spark, sf).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    every = e.unionByName(e.select((F.col("vec_id") + 1_000_000).alias("vec_id"), bent.alias("embedding")))
+    idx = stored(vx.build_index(every, check=False), "bent")
+    exact = vx.near_duplicates(idx, 0.9).select("i", "j", F.lit(1).alias("e"))
+    banded = vx.near_duplicates(idx, 0.9, mode="banded").select("i", "j", F.lit(1).alias("b"))
+    both = exact.join(banded, ["i", "j"], "full").agg(
+        F.count("e").alias("n_exact"), F.count("b").alias("n"), F.count_if((F.col("e") == 1) & (F.col("b") == 1)).alias("hit")
+    )
+    return both.select(
+        "n_exact", (F.col("hit") >= 0.95 * F.col("n_exact")).alias("is_recalled"), (F.col("hit") == F.col("n")).alias("is_exact")
+    )
 
 
 @query("v6_near_duplicates_knn10", KNN)
@@ -335,6 +382,30 @@ def v7_closest(spark, sf):
     )
 
 
+@query(
+    "v7_closest_items_l2",
+    "SELECT CAST(range AS INTEGER) AS cluster_id, TRUE AS is_closest FROM range(10)",
+)
+def v7_closest_l2(spark, sf):
+    """No row of an index by distance is nearer to a centre than the row given for it."""
+    idx = index(spark, sf)
+    centers = vx.cluster_centers(idx, 10, params=IndexParams(index_type="l2"))
+    given = centers.select("cluster_id", "centroid", F.col("closest_item_index").alias("vec_id"))
+    chosen = given.join(idx.select("vec_id", "unit_vec"), "vec_id").select(
+        "cluster_id", vf.squared_l2(F.col("centroid"), F.col("unit_vec")).alias("own")
+    )
+    all_centers = given.agg(F.collect_list(F.struct("cluster_id", "centroid")).alias("centers"))
+    best = (
+        beside(idx.select("unit_vec"), all_centers)
+        .select("unit_vec", F.explode("centers").alias("c"))
+        .groupBy(F.col("c.cluster_id").alias("cluster_id"))
+        .agg(F.min(vf.squared_l2(F.col("c.centroid"), F.col("unit_vec"))).alias("best"))
+    )
+    return chosen.join(best, "cluster_id").select(
+        "cluster_id", (F.col("own") <= F.col("best") + 1e-6).alias("is_closest")
+    )
+
+
 @query(
     "v8_search_benchmark_shape",
     "SELECT least(count(*), 100) AS n_queries, 5 AS k, TRUE AS is_consistent FROM embeddings",

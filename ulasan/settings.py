@@ -80,6 +80,5 @@ class TrainParams:
 class IndexParams:
     index_type: str = "inner_product"  # or "l2"
     normalize: bool = True
-    block_rows: int = 4096
-    max_query_rows: int = 4096
+    max_query_rows: int = 32_768
     max_broadcast_bytes: int = 64 << 20
