@@ -162,6 +162,56 @@ def test_near_copies_catch_similar_texts_and_leave_others(spark):
     assert set(range(60)) <= kept and len(copies & kept) <= 3
 
 
+def edited(words, n, tag, rng):
+    """A copy with n words changed, spread so that each change costs five shingles."""
+    out = list(words)
+    for at in 5 * rng.choice(len(words) // 5, n, replace=False):
+        out[at] = f"{tag}x{at}"
+    return out
+
+
+def test_similar_copies_equal_brute_force(spark, docs, none):
+    rng = np.random.default_rng(12)
+    more = []
+    for i in range(12):  # an original with the largest id of its group, copies around 0.8 and beyond it
+        base = [f"g{i}w{x}" for x in range(400)]
+        more += [(1000 + 10 * i + k, " ".join(edited(base, n, f"e{i}k{k}", rng))) for k, n in enumerate((0, 2, 7, 7, 12, 16))]
+        more.append((1009 + 10 * i, " ".join(base)))
+    more = spark.createDataFrame(more, "doc_id long, text string")
+    table = docs.select("doc_id", "text").unionByName(more).unionByName(more.limit(5))
+    rows = table.collect()
+    text = {r.doc_id: r.text for r in rows if r.doc_id is not None}
+    group = {r.doc_id: r.component_id for r in simhash.near_copies(table, several=8).collect()}
+    grams = {}
+    for i, t in text.items():
+        w = (t or "").encode().lower().split()
+        grams[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    ids = sorted(text)
+    links = [p for p in itertools.combinations(ids, 2) if group[p[0]] == group[p[1]] and alike(*(grams[i] for i in p))]
+    root = closure(ids, links) | {None: None}
+    got = simhash.similar_copies(table).collect()
+    assert len(got) == len(rows) and all(r.component_id == root[r.doc_id] for r in got)
+    assert any(group[i] != root[i] for i in ids), "the check separates some of what the fingerprints join"
+    kept = simhash.drop_similar_copies(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {None} | {i for i in root if i is not None and i < 1000 and root[i] == i}
+    assert simhash.similar_copies(none).count() == 0 == simhash.drop_similar_copies(none).count()
+
+
+def test_verified_links_of_a_large_group(spark):
+    """A star whose centre has the largest id: one check for each node, and the copies are not near each other."""
+    rng = np.random.default_rng(13)
+    base = [f"w{x}" for x in range(300)]
+    rows = [(k, 7, " ".join(edited(base, 6, f"c{k}", rng))) for k in range(600)] + [(999, 7, " ".join(base))]
+    marked = simhash.sketched(spark.createDataFrame(rows, "id long, group long, text string"), 5, 16, 3).cache()
+    links = simhash.verified_links(marked.select("id", F.col("bands").alias("keys")), marked.select("id", "grams"), 0.8)
+    found = {tuple(r) for r in links.collect()}
+    assert {a for a, b in found if b == 999} | {b for a, b in found if a == 999} == set(range(600))
+    assert len(found) < 3 * 600
+    marked.unpersist()
+
+
 @pytest.mark.parametrize("blocks,block_rows", [(5, 16_384), (6, 16_384), (7, 40), (5, 30)])
 def test_near_links_join_what_all_pairs_join(spark, blocks, block_rows):
     rng = np.random.default_rng(blocks)

@@ -523,6 +523,157 @@ def near_copies(
     )
 
 
+# --- exact check of near copies -------------------------------------------------
+
+
+def word_sketch(text: str | None, words: int, bands: int, depth: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Digest of the words in order, `bands` keys of `depth` minima each, and the set of `words`-word shingles.
+
+    The keys and the set are empty for a text without words.
+    """
+    digest = xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
+    lows, parts = np.full(bands * depth, U64(2**64 - 1)), [np.zeros(0, U64)]
+    for hashes in shingle_hashes(text, words):
+        parts.append(np.unique(hashes))
+        for i in range(len(lows)):
+            lows[i] = min(lows[i], remixed(parts[-1], i + 1).min())
+    grams = np.unique(np.concatenate(parts))
+    keys = np.zeros(bands, U64)
+    for row in lows.reshape(bands, depth).T:
+        keys = remixed(keys ^ row, 1)
+    return digest, keys if len(grams) else keys[:0], grams
+
+
+def sketched(rows: DataFrame, words: int, bands: int, depth: int) -> DataFrame:
+    """`(id, group, digest, bands, grams)` of `rows (id, group, text)`."""
+
+    def lists(values: list[np.ndarray]) -> pa.Array:
+        offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
+        flat = np.concatenate([np.zeros(0, U64), *values]).view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                made = [word_sketch(t.as_py(), words, bands, depth) for t in part.column(2)]
+                digests = pa.array([x[0] for x in made], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), digests, lists([x[1] for x in made]), lists([x[2] for x in made])],
+                    ["id", "group", "digest", "bands", "grams"],
+                )
+
+    return rows.select("id", "group", "text").mapInArrow(
+        run, "id long, group long, digest binary, bands array<long>, grams array<long>"
+    )
+
+
+def similar_only(pairs: DataFrame, sets: DataFrame, similarity: float, per_task: int = 256) -> DataFrame:
+    """Those of `pairs (a, b)` whose sets in `sets (id, grams)` have a Jaccard of `similarity` or more.
+
+    Many `a` may name one `b`: its set is dealt out once for every `per_task` of them, by salt.
+    """
+    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
+    salted = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"))
+    right = copies.join(sets, F.col("b") == F.col("id")).select(
+        "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("grams").alias("grams_b")
+    )
+    both = (
+        salted.join(sets, F.col("a") == F.col("id"))
+        .select("a", "b", "salt", "grams")
+        .join(right, ["b", "salt"])
+        .where(
+            F.least(F.size("grams"), F.size("grams_b")) >= similarity * F.greatest(F.size("grams"), F.size("grams_b"))
+        )
+    )
+    shared = F.size(F.array_intersect("grams", "grams_b"))
+    return both.where(
+        shared >= similarity * (F.size("grams") + F.size("grams_b") - shared)
+    ).select("a", "b")
+
+
+def verified_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links `(a, b)` of the similarity or more between `nodes (id, keys array<long>)` with a common key.
+
+    Each key's nodes are compared with the key's leader, the node that shares the most keys with
+    nodes still alone, so a group of m costs m checks a key and not the square. Nodes that found nobody
+    go on with the next leader of each of their keys, for as long as a round finds any link; those
+    that have found one may lead, too.
+    """
+    offers = keyed = stored(nodes.select("id", F.explode("keys").alias("key")).distinct(), "simhash-keys")
+    alone, found = nodes.select("id").distinct(), None
+    while True:
+        asking = stored(keyed.join(alone, "id", "left_semi"), "simhash-asking")
+        sizes = asking.groupBy("key").agg(F.count("*").alias("n"))
+        offered = stored(offers.join(sizes, "key"), "simhash-offers")
+        ranked = offered.join(offered.groupBy("id").agg(F.sum("n").alias("score")), "id")
+        leaders = stored(
+            ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
+            .select("key", (-F.col("best.minus")).alias("b")),
+            "simhash-leaders",
+        )
+        pairs = stored(
+            asking.join(leaders, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct(),
+            "simhash-pairs",
+        )
+        links = stored(similar_only(pairs, sets, similarity), "simhash-similar")
+        found = links if found is None else found.unionByName(links)
+        if links.isEmpty():
+            return found
+        offers = offers.join(leaders, (offers["key"] == leaders["key"]) & (offers["id"] == leaders["b"]), "left_anti")
+        joined = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        alone = stored(asking.select("id").distinct().join(joined, "id", "left_anti"), "simhash-alone")
+
+
+def similar_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    bands: int = 16,
+    depth: int = 3,
+    **options,
+) -> DataFrame:
+    """`(doc_id, component_id)` per row: groups of `near_copies` (whose `options` these are), kept where
+    the texts' sets of `words`-word shingles have a Jaccard similarity of `similarity` or more.
+
+    The fingerprints say which texts may be near; inside one of their groups pairs are brought
+    together by `bands` keys of `depth` MinHash values (at 0.8, all sixteen keys of three differ in 1 of 100,000 pairs) and
+    checked exactly, see `verified_links`. Two texts that only meet through a chain of two further ones
+    which are no leaders may stay apart. Texts of the same words (white space and the case of A-Z
+    aside) are one node, so copies are always joined; texts without words, null ones too, are copies of each
+    other. Nulls in the id, ties, repeated rows, empty tables and other columns: as in `near_duplicates`. A
+    repeated id with different texts is one node.
+    """
+    groups = stored(near_copies(docs, id_col, text_col, **options), "simhash-groups")
+    linked_ids = groups.where("component_id <> doc_id").select(F.col("doc_id").cast("long").alias("id"), F.col("component_id").alias("group"))
+    members = linked_ids.unionByName(linked_ids.select(F.col("group").alias("id"), "group").distinct())
+    members = stored(members.groupBy("id").agg(F.min("group").alias("group")), "simhash-members")
+    rows = two_columns(docs, id_col, text_col).withColumnRenamed("doc_id", "_doc")
+    marked = stored(
+        sketched(rows.join(members, F.col("_doc") == F.col("id")), words, bands, depth), "simhash-sketches"
+    )
+    nodes = stored(
+        marked.groupBy("group", "digest", "bands").agg(F.min("id").alias("id")), "simhash-nodes"
+    )
+    sets = stored(
+        marked.join(nodes.select("id", "digest"), ["id", "digest"], "left_semi").select("id", "grams").distinct(), "simhash-sets"
+    )
+    keys = F.transform("bands", lambda band, at: F.xxhash64("group", at, band))
+    roots = components(verified_links(nodes.select("id", keys.alias("keys")), sets, similarity))
+    ends = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
+        "group", "digest", F.coalesce("root", "id").alias("root")
+    )
+    settled = (
+        marked.select("id", "group", "digest").join(ends, ["group", "digest"])
+        .groupBy("id").agg(F.min("root").alias("_root"))
+    )
+    return groups.join(settled, groups["doc_id"] == settled["id"], "left").select(
+        "doc_id", F.coalesce("_root", groups["doc_id"].cast("long")).alias("component_id")
+    )
+
+
 def smallest_only(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of `docs` (with `doc_id`) that are the smallest id of their component in `groups`.
 
@@ -540,3 +691,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The smallest id of each component of `near_copies`."""
     return smallest_only(docs, near_copies(docs, **options))
+
+
+def drop_similar_copies(docs: DataFrame, **options) -> DataFrame:
+    """The smallest id of each component of `similar_copies`."""
+    return smallest_only(docs, similar_copies(docs, **options))
