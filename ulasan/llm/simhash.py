@@ -571,7 +571,8 @@ def sketched(rows: DataFrame, words: int, bands: int, depth: int) -> DataFrame:
 def similar_only(pairs: DataFrame, sets: DataFrame, similarity: float, per_task: int = 256) -> DataFrame:
     """Those of `pairs (a, b)` whose sets in `sets (id, grams)` have a Jaccard of `similarity` or more.
 
-    Many `a` may name one `b`: its set is dealt out once for every `per_task` of them, by salt.
+    A repeated row of `sets` repeats links. Many `a` may name one `b`: its set is dealt out once for
+    every `per_task` of them, by salt.
     """
     copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
     salted = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"))
@@ -647,7 +648,9 @@ def similar_copies(
     repeated id with different texts is one node.
     """
     groups = stored(near_copies(docs, id_col, text_col, **options), "simhash-groups")
-    linked_ids = groups.where("component_id <> doc_id").select(F.col("doc_id").cast("long").alias("id"), F.col("component_id").alias("group"))
+    linked_ids = groups.where("component_id <> doc_id").select(
+        F.col("doc_id").cast("long").alias("id"), F.col("component_id").alias("group")
+    )
     members = linked_ids.unionByName(linked_ids.select(F.col("group").alias("id"), "group").distinct())
     members = stored(members.groupBy("id").agg(F.min("group").alias("group")), "simhash-members")
     rows = two_columns(docs, id_col, text_col).withColumnRenamed("doc_id", "_doc")
@@ -658,7 +661,8 @@ def similar_copies(
         marked.groupBy("group", "digest", "bands").agg(F.min("id").alias("id")), "simhash-nodes"
     )
     sets = stored(
-        marked.join(nodes.select("id", "digest"), ["id", "digest"], "left_semi").select("id", "grams").distinct(), "simhash-sets"
+        marked.join(nodes.select("id", "digest"), ["id", "digest"], "left_semi").select("id", "grams"),
+        "simhash-sets",
     )
     keys = F.transform("bands", lambda band, at: F.xxhash64("group", at, band))
     roots = components(verified_links(nodes.select("id", keys.alias("keys")), sets, similarity))
