@@ -199,6 +199,43 @@ def test_similar_copies_equal_brute_force(spark, docs, none):
     assert simhash.similar_copies(none).count() == 0 == simhash.drop_similar_copies(none).count()
 
 
+def five_word_closure(rows):
+    """Root of each id over all pairs of `(id, text)` of a five-word similarity of 0.8 or more, and the pairs."""
+    grams, lists = {}, defaultdict(set)
+    for i, t in rows:
+        w = t.lower().split()
+        grams[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+        for g in grams[i]:
+            lists[g].add(i)
+    near = {(a, b) for i in grams for a, b in [(min(i, j), max(i, j)) for g in grams[i] for j in lists[g] if j != i]}
+    links = [(a, b) for a, b in near if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])]
+    return closure(grams, links), links
+
+
+def test_similar_copies_of_block_edits_and_repeats(spark):
+    """Passages appended, cut out or repeated, at similarities from 0.8 on, against all pairs."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(160):
+        n = int(rng.integers(100, 600))
+        base = [f"t{i}w{x}" for x in range(n)]
+        share = rng.uniform(0.05, 0.24)
+        kind, at, cut = i % 4, int(rng.integers(0, n // 2)), int(n * share / (1 + share))
+        if kind == 0:
+            copy = base + [f"x{i}w{x}" for x in range(int(n * share))]
+        elif kind == 1:
+            copy = base[:at] + base[at + cut :]
+        elif kind == 2:  # one line of ten words again and again, which the sets hold once
+            copy = base + base[at : at + 10] * int(rng.integers(10, 40))
+        else:
+            copy = base[cut:]
+        rows += [(i, " ".join(base)), (1000 + i, " ".join(copy))]
+    root, links = five_word_closure(rows)
+    assert len(links) > 100
+    got = {r.doc_id: r.component_id for r in simhash.similar_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == root, f"{sum(got[a] == got[b] for a, b in links)} of {len(links)} pairs joined"
+
+
 def test_verified_links_of_a_large_group(spark):
     """A star whose centre has the largest id: one check for each node, and the copies are not near each other."""
     rng = np.random.default_rng(13)
