@@ -201,14 +201,15 @@ def test_similar_copies_equal_brute_force(spark, docs, none):
 
 def five_word_closure(rows):
     """Root of each id over all pairs of `(id, text)` of a five-word similarity of 0.8 or more, and the pairs."""
-    grams, lists = {}, defaultdict(set)
+    grams = {}
     for i, t in rows:
         w = t.lower().split()
         grams[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-        for g in grams[i]:
-            lists[g].add(i)
-    near = {(a, b) for i in grams for a, b in [(min(i, j), max(i, j)) for g in grams[i] for j in lists[g] if j != i]}
-    links = [(a, b) for a, b in near if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])]
+    links = [
+        (i, j)
+        for (i, a), (j, b) in itertools.combinations(sorted(grams.items()), 2)
+        if (n := len(a & b)) >= 0.8 * (len(a) + len(b) - n)
+    ]
     return closure(grams, links), links
 
 
@@ -249,6 +250,26 @@ def test_verified_links_of_a_large_group(spark):
     marked.unpersist()
 
 
+@pytest.mark.parametrize("block_rows", [2048, 50])
+def test_similar_links_equal_all_pairs_without_a_centre(spark, block_rows):
+    """Edited copies of an original that is not in the table, and template pages with one near copy each."""
+    rng = np.random.default_rng(23)
+    base = [f"w{x}" for x in range(300)]
+    rows = [(k, " ".join(edited(base, 4, f"c{k}", rng))) for k in range(250)]
+    frame = [f"t{x}" for x in range(300)]
+    for k in range(50):
+        page = frame[:150] + [f"p{k}w{x}" for x in range(int(rng.integers(45, 55)))] + frame[150:]
+        copy = page[:-4] + [f"q{k}w{x}" for x in range(4)]
+        rows += [(1000 + k, " ".join(page)), (2000 + k, " ".join(copy))]
+    root, _ = five_word_closure(rows)
+    marked = simhash.sketched(spark.createDataFrame([(i, 0, t) for i, t in rows], "id long, group long, text string"), 5, 16, 3).cache()
+    options = {} if block_rows == 2048 else {"block_rows": block_rows}
+    links = simhash.verified_links(marked.select("id", F.col("bands").alias("keys")), marked.select("id", "grams"), 0.8, **options)
+    got = {r.node: r.root for r in simhash.components(links).collect()}
+    assert {i: got.get(i, i) for i, _ in rows} == root, f"{len(rows) - len(got)} components, want {len(set(root.values()))}"
+    marked.unpersist()
+
+
 @pytest.mark.parametrize("blocks,block_rows", [(5, 16_384), (6, 16_384), (7, 40), (5, 30)])
 def test_near_links_join_what_all_pairs_join(spark, blocks, block_rows):
     rng = np.random.default_rng(blocks)

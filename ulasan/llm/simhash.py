@@ -593,37 +593,112 @@ def similar_only(pairs: DataFrame, sets: DataFrame, similarity: float, per_task:
     ).select("a", "b")
 
 
-def verified_links(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links `(a, b)` of the similarity or more between `nodes (id, keys array<long>)` with a common key.
+def alike(grams: pa.ListArray, labels: np.ndarray, sides: np.ndarray | None, similarity: float):
+    """Pairs of places in `grams` of the similarity or more that join what all such pairs join.
 
-    Each key's nodes are compared with the key's leader, the node that shares the most keys with
-    nodes still alone, so a group of m costs m checks a key and not the square. Nodes that found nobody
-    go on with the next leader of each of their keys, for as long as a round finds any link; those
-    that have found one may lead, too.
+    `labels` (from 0) are parts already joined; with `sides` only pairs across the sides are tested. The
+    sets are taken in order of size, so those that may be alike are one run after each.
     """
-    offers = keyed = stored(nodes.select("id", F.explode("keys").alias("key")).distinct(), "simhash-keys")
-    alone, found = nodes.select("id").distinct(), None
-    while True:
-        asking = stored(keyed.join(alone, "id", "left_semi"), "simhash-asking")
-        sizes = asking.groupBy("key").agg(F.count("*").alias("n"))
-        offered = stored(offers.join(sizes, "key"), "simhash-offers")
-        ranked = offered.join(offered.groupBy("id").agg(F.sum("n").alias("score")), "id")
-        leaders = stored(
-            ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
-            .select("key", (-F.col("best.minus")).alias("b")),
-            "simhash-leaders",
-        )
-        pairs = stored(
-            asking.join(leaders, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct(),
-            "simhash-pairs",
-        )
-        links = stored(similar_only(pairs, sets, similarity), "simhash-similar")
-        found = links if found is None else found.unionByName(links)
-        if links.isEmpty():
-            return found
-        offers = offers.join(leaders, (offers["key"] == leaders["key"]) & (offers["id"] == leaders["b"]), "left_anti")
-        joined = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        alone = stored(asking.select("id").distinct().join(joined, "id", "left_anti"), "simhash-alone")
+    offsets = grams.offsets.to_numpy().astype(np.int64)
+    sizes = np.diff(offsets)
+    order = np.argsort(sizes, kind="stable")
+    sizes, labels = sizes[order], labels[order].copy()
+    sides = None if sides is None else sides[order]
+    starts = np.r_[0, np.cumsum(sizes)]
+    within = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
+    values = grams.values.to_numpy()[np.repeat(offsets[:-1][order], sizes) + within]
+    distinct, values = np.unique(values, return_inverse=True)
+    marks = np.zeros(len(distinct), bool)
+    a, b = [], []
+    for i in range(len(sizes)):
+        end = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-9, "right"))
+        wanted = labels[i + 1 : end] != labels[i]
+        if sides is not None:
+            wanted &= sides[i + 1 : end] != sides[i]
+        if not sizes[i] or not wanted.any():
+            continue
+        own = values[starts[i] : starts[i + 1]]
+        marks[own] = True
+        run = marks[values[starts[i + 1] : starts[end]]]
+        shared = np.add.reduceat(run, starts[i + 1 : end] - starts[i + 1], dtype=np.int64)
+        marks[own] = False
+        wanted &= shared >= similarity * (sizes[i] + sizes[i + 1 : end] - shared)
+        for j in (np.flatnonzero(wanted) + i + 1).tolist():
+            if labels[j] != labels[i]:
+                labels[labels == labels[j]] = labels[i]
+                a.append(order[i])
+                b.append(order[j])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def links_inside(
+    opened: DataFrame, sets: DataFrame, similarity: float, block_rows: int, block_grams: int
+) -> DataFrame:
+    """Links `(a, b)` that join what all pairs of one key in `opened (key, id, root)` join, whose roots differ.
+
+    A key's nodes are dealt into blocks of about `block_rows` nodes and `block_grams` shingles, and each
+    pair of blocks is one group, so no key has to fit in a task.
+    """
+    sized = opened.join(sets.select("id", F.size("grams").alias("n_grams")), "id")
+    blocks = sized.groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / block_rows, F.sum("n_grams") / block_grams)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("id", "key"), "blocks").cast("int")
+    dealt = (
+        opened.join(blocks, "key")
+        .withColumn("block", block)
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("id", "root", "block", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, roots = (table.column(c).to_numpy() for c in ("id", "root"))
+        sides = table.column("block").to_numpy() if table.column("lo")[0].as_py() != table.column("hi")[0].as_py() else None
+        grams = table.column("grams")
+        grams = grams.chunk(0) if isinstance(grams, pa.ChunkedArray) else grams
+        a, b = alike(grams, np.unique(roots, return_inverse=True)[1], sides, similarity)
+        return pa.table({"a": ids[a], "b": ids[b]})
+
+    return (
+        dealt.join(sets, "id").groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long")
+    )
+
+
+def verified_links(
+    nodes: DataFrame, sets: DataFrame, similarity: float, block_rows: int = 2048, block_grams: int = 2_000_000
+) -> DataFrame:
+    """Links `(a, b)` between `nodes (id, keys array<long>)` whose connected parts are exactly those of
+    all pairs of the similarity or more with a common key.
+
+    First each key's nodes are compared with the key's leader, the node that shares the most keys with
+    others, so a group of m whose leader is its centre costs m checks a key and not the square. A key
+    of two nodes is settled by that, and so is one whose nodes are all joined. In every other key all
+    pairs of nodes that are not joined yet are compared, see `links_inside`.
+    """
+    keyed = stored(nodes.select("id", F.explode("keys").alias("key")).distinct(), "simhash-keys")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    offered = stored(keyed.join(sizes, "key"), "simhash-offers")
+    ranked = offered.join(offered.groupBy("id").agg(F.sum("n").alias("score")), "id")
+    leaders = (
+        ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
+        .select("key", (-F.col("best.minus")).alias("b"))
+    )
+    pairs = stored(
+        offered.join(leaders, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct(),
+        "simhash-pairs",
+    )
+    links = stored(similar_only(pairs, sets, similarity), "simhash-similar")
+    larger = offered.where("n > 2")
+    roots = components(links)
+    placed = stored(
+        larger.join(roots, larger["id"] == roots["node"], "left").select("key", "id", F.coalesce("root", "id").alias("root")),
+        "simhash-placed",
+    )
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    opened = stored(placed.join(several, "key", "left_semi"), "simhash-open")
+    inside = links_inside(opened, sets, similarity, block_rows, block_grams)
+    return links.unionByName(stored(inside, "simhash-inside"))
 
 
 def similar_copies(
