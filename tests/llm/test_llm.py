@@ -374,6 +374,17 @@ def test_text_encoder_equals_tokenizers():
     assert encoder.fast is not None
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "\u00a0", "\u3000"])
+def test_text_encoder_on_a_very_long_run_of_white_space(run):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(tokenizer_path()), packing.TextEncoder(tokenizer_path(), compare=0)
+    for n in (packing.LONG_RUN - 1, packing.LONG_RUN, 1_000_000):
+        for t in ("a b" + (run * n)[:n] + "c d", (run * n)[:n]):
+            assert encoder.encode(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.fast is not None
+
+
 # --- line model ---------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +33,11 @@ BYTE_LEVEL = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 
+#: The faster encoder's pattern keeps a place to go back to for each character of a run of white space
+#: and panics at about a million, so texts with a run this long go to `tokenizers`. Python's \s holds all of the pattern's.
+LONG_RUN = 1 << 16
+LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")  # tried once for each run
+
 
 def _byte_of() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones themselves,
@@ -75,7 +81,7 @@ class TextEncoder:
 
     For a plain byte-level BPE the same vocabulary runs in an encoder several times as fast. Each
     encoder compares the first texts it gets, and goes on with `tokenizers` if they differ; texts
-    that hold a special token's string are always left to `tokenizers`.
+    that hold a special token's string or a very long run of white space are always left to `tokenizers`.
     """
 
     def __init__(self, path: str, compare: int = 16):
@@ -93,6 +99,8 @@ class TextEncoder:
     def encode(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
             return self._plain(text)
+        if len(text) >= LONG_RUN and LONG_SPACE.search(text):
+            return self._plain(text)
         ids = np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
         if self.compare:
             self.compare -= 1
