@@ -489,8 +489,8 @@ def near_copies(
 
     A copy with a five-word similarity of 0.8 shares nine tenths of its four-word shingles, so one
     fingerprint of them differs in about eight bits and few such copies are within four. Two-word
-    shingles suffer half as much from an edit, and each independent fingerprint is another chance,
-    while unrelated texts stay about thirty bits apart. Nulls, ties, empty texts and tables behave as in
+    shingles suffer half as much from a scattered edit of one word (not from an appended or cut passage),
+    and each independent fingerprint is another chance, while unrelated texts stay about thirty bits apart. Nulls, ties, empty texts and tables behave as in
     `near_duplicates`; rows whose fingerprints are all equal are one node.
     """
 
