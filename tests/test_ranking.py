@@ -1,11 +1,13 @@
 import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ulasan.operators import metrics
+from ulasan.operators import prepare as prep
 from ulasan.operators import profile as pf
 from ulasan.operators import ranking as rk
 from ulasan.operators import sampling as sm
@@ -76,7 +78,7 @@ def test_running_sums_and_percentiles(spark, kind):
         v[:] = 1.5
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     counts = df.groupBy("x").agg(F.count("*").alias("n"))
-    got = {r["x"]: r["n_below"] for r in rk.running_sums(counts, "x", ["n"], buckets=16).collect()}
+    got = {r["x"]: r["n_below"] for r in rk.running_sums(counts, "x", ["n"], rows_per_part=300).collect()}
     ordered = np.sort(v)
     assert got == {float(x): int(np.searchsorted(ordered, x)) for x in set(v)}
     row = rk.exact_percentiles(df, "x", {"a": 0.1, "b": 0.5, "c": 0.999}).head()
@@ -134,3 +136,100 @@ def test_whole_numbers_are_not_gathered(spark):
     r = pf.describe_numeric(df, ["key"]).first()
     want = sorted(x["key"] for x in df.collect())
     assert r["count"] == 5000 and r["p50"] == (want[2499] + want[2500]) / 2
+
+
+def exchanged(df):
+    """Columns that pass an exchange in the plan that ran."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    del plan
+    out = set()
+    for block in text.split("\n\n"):
+        if re.match(r"\s*\(\d+\) Exchange", block):
+            for line in block.splitlines():
+                if line.startswith("Input"):
+                    out |= {c.split("#")[0] for c in line.split("[", 2)[-1].rstrip("]").split(", ")}
+    return out
+
+
+def test_texts_stay_in_place_in_splits_and_samples(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for out in (
+        sm.train_test_split(docs, label="lang", key="doc_id"),
+        sm.train_test_split(docs, label=None, key="doc_id"),
+        sm.folds(docs, 3, label="lang", key="doc_id"),
+        sm.stratified_sample(docs, 50, label="lang", key="doc_id"),
+        sm.random_sample(docs, 50, key="doc_id"),
+    ):
+        assert "text" not in exchanged(out)
+    moved = docs.repartition(3, "lang")
+    assert "text" in exchanged(moved)  # the test sees what it looks for
+
+
+@pytest.mark.parametrize("small, most_bytes", [(3, 1 << 25), (3, 0), (20_000, 0)])
+def test_radix_steps_and_many_cutoffs_choose_the_same_rows(spark, small, most_bytes):
+    """Buckets refined down to three rows, cut-offs too many to send: the same result."""
+    key = F.when(F.col("id") < 5000, -7).when(F.col("id") % 11 == 0, None).otherwise(F.col("id"))
+    label = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5)
+    df = spark.range(15_000).select(key.alias("row_id"), label.alias("sentimen"))
+    quota = lambda n, _t, _g: F.ceil(n / 3).cast("long")
+    plain = rk.hash_lowest(df, "row_id", quota, by="sentimen")
+    other = rk.hash_lowest(df, "row_id", quota, by="sentimen", small=small, most_bytes=most_bytes)
+    tiles = rk.hash_tiles(df, "row_id", 3, by="sentimen")
+    other_tiles = rk.hash_tiles(df, "row_id", 3, by="sentimen", small=small, most_bytes=most_bytes)
+    for a, b in ((plain, other), (tiles, other_tiles)):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize("rows, per_part", [(2_000, 100), (20_000, 100)])
+def test_rows_of_a_range_do_not_grow_with_the_table(spark, rows, per_part):
+    df = spark.range(rows).select((F.col("id") * 7919 % 20_011).cast("double").alias("x"), F.lit(1).alias("n"))
+    sums = rk.running_sums(df, "x", ["n"], rows_per_part=per_part)
+    ordered = sorted((r["x"], r["n_below"]) for r in sums.collect())
+    assert [b for _, b in ordered] == list(range(rows))
+    plan = sums._jdf.queryExecution().analyzed().toString()
+    path = re.search(r"ranges-[0-9a-f]+", " ".join(sums.inputFiles())).group()
+    assert "_range" in plan and path
+    files = [f for f in sums.inputFiles() if "ranges-" in f]
+    largest = spark.read.parquet(*files).groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert largest <= 4 * per_part
+
+
+@pytest.mark.parametrize("small, accuracy", [(40, 50), (0, 1000)])
+def test_brackets_find_exact_quantiles(spark, small, accuracy):
+    """Sketches so rough, or last scans so small, that brackets are narrowed several times."""
+    v = {c: np.random.default_rng(8).normal(size=3000) for c in ("normal", "ties", "two", "steps", "ends")}
+    v["ties"][:1600] = 0.1
+    v["two"] = np.where(v["two"] > 0, 1.0, 2.0)
+    v["steps"] = np.floor(v["steps"] * 3)
+    v["ends"][:900], v["ends"][900:1800] = -np.inf, np.inf
+    df = spark.createDataFrame([tuple(map(float, x)) for x in zip(*v.values())], ", ".join(f"{c} double" for c in v))
+    probs = {"a": 0.0, "b": 0.25, "c": 0.7501, "d": 1.0}
+    got = rk.exact_quantiles(df.coalesce(2), probs, {c: 3000 for c in v}, small=small, accuracy=accuracy)
+    for c, x in v.items():
+        ordered = np.sort(x)
+        for name, p in probs.items():
+            at = 2999 * p
+            lo, hi = ordered[math.floor(at)], ordered[math.ceil(at)]
+            assert got[c][name] == pytest.approx(lo if lo == hi else lo + (hi - lo) * (at - math.floor(at)), rel=1e-12)
+
+
+def test_texts_are_no_shuffle_keys_in_dedup_and_description(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert "text" not in exchanged(prep.dedup_rows(docs, "doc_id"))
+    assert not {"text", "_v"} & exchanged(pf.describe_text(docs, "text"))
+
+
+def test_dedup_by_digest_equals_grouping(spark):
+    rows = [(1, "a", 0.0, None), (2, "a", -0.0, None), (3, "a", None, ["x"]), (4, "a", None, ["x"]), (5, "a,", None, ["x"])]
+    rows += [(6, "", None, None), (7, None, None, None), (8, "", None, None), (9, None, float("nan"), None), (10, None, float("nan"), None)]
+    rows += [(11, "1:", None, []), (12, "1", None, [None]), (13, "a", None, ["x"])]
+    schema = "row_id long, t string, d double, l array<string>"
+    df = spark.createDataFrame(rows, schema)
+    want = sorted(r["row_id"] for r in df.groupBy("t", "d", "l").agg(F.min("row_id").alias("row_id")).collect())
+    assert sorted(r["row_id"] for r in prep.dedup_rows(df, "row_id").collect()) == want == [1, 3, 5, 6, 7, 9, 11, 12]
+    for odd in ([(1, "a", 0.0, None)], [(None, "a", 0.0, None)]):  # an id given twice, none given
+        twice = df.unionByName(spark.createDataFrame(odd, schema))
+        assert prep.dedup_rows(twice, "row_id").count() == len(want)

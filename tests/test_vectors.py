@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ulasan.functions import vector as vf
+from ulasan.operators import kernels
 from ulasan.operators import vectors as vx
 from ulasan.settings import IndexParams
 
@@ -105,16 +106,53 @@ def test_banded_pairs_are_exact_and_nearly_complete(spark, d):
     assert got <= want and len(got) >= 0.98 * len(want)
 
 
-@pytest.mark.parametrize("d", [64, 768])
-def test_vectors_are_copied_to_no_block(spark, d):
-    """A vector is written once as an item and once in its chunk, however many chunks there are."""
-    index = vx.build_index(frame(spark, clustered(200, d, centers=40)))
-    chunked, chunks = vx._chunked(index, "vec_id", "unit_vec", IndexParams(max_query_rows=20))
-    assert chunks == 10 and chunked.count() == 200
+def test_bands_hold_keys_and_not_vectors():
     bits, bands = vx.bands_for(10**9, 0.95, 0.99)
     assert bits == 30 and bands < 128  # keys of 20 bytes, not vectors
 
 
+@pytest.mark.parametrize("rows", [20, 7])
+def test_large_query_sets_are_one_job_past_the_driver(spark, rows):
+    """However many parts there are, a search is one plan whose cells are met in one job."""
+    index = vx.build_index(frame(spark, clustered(200, 64, centers=40)))
+    asked = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    hits = vx.search(index, asked, 3, IndexParams(max_query_rows=rows))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroupsInArrow" in plan and hits.count() == 600
+
+
+def test_crowded_buckets_are_dealt_over_cells_and_lose_no_pair(spark):
+    """Distinct near vectors that share all their planes: the same pairs, whatever a bucket may hold."""
+    rng = np.random.default_rng(4)
+    v = np.concatenate([clustered(100, 16), 1 + rng.normal(size=(300, 16)) * 1e-3]).astype(np.float32)
+    index = vx.build_index(frame(spark, v))
+    found = [
+        {(r["i"], r["j"]) for r in vx.near_duplicates(index, 0.95, mode="banded", crowded=n).collect()} for n in (10_000, 30)
+    ]
+    assert found[1] == found[0] and len(found[0]) >= 300 * 299 // 2
+
+
+@pytest.mark.parametrize("t", [0.0, 0.5, 0.9, 0.999])
+@pytest.mark.parametrize("d", [1, 3, 64])
+def test_the_bound_on_part_of_the_dimensions_loses_no_pair(t, d):
+    rng = np.random.default_rng(d)
+    u = unit(rng.normal(size=(400, d)) * np.linspace(0.1, 3, d))
+    u[200:210] = u[:10]
+    ids = rng.permutation(400).astype(np.int64)
+    sims = u @ u.T
+    for same, lo in ((True, 0), (False, 150)):
+        a, b = (slice(None), slice(None)) if same else (slice(0, lo), slice(lo, None))
+        got = [set(zip(i.tolist(), j.tolist())) for i, j, _ in kernels.pairs_above(ids[a], u[a], ids[b], u[b], same, t, step=64)]
+        want = {
+            (min(ids[x], ids[y]), max(ids[x], ids[y]))
+            for x in range(400)
+            for y in range(400)
+            if sims[x, y] > t and (x < y if same else x < lo <= y)
+        }
+        close = {(min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in zip(*np.nonzero(abs(sims - t) < 1e-12))}
+        assert set().union(*got) - close == want - close and sum(map(len, got)) == len(set().union(*got))
+
+
 def test_queries_are_encoded_once(spark):
     seen = spark.sparkContext.accumulator(0)
 

@@ -36,51 +36,70 @@ def _scores(q: np.ndarray, v: np.ndarray, l2: bool) -> np.ndarray:
 class TopK:
     """The k best ids of each query over the blocks it has seen."""
 
-    def __init__(self, queries: np.ndarray, k: int, l2: bool, step: int = 256):
+    def __init__(self, queries: np.ndarray, k: int, l2: bool, step: int = 1024):
         self.q, self.k, self.l2, self.step = queries, k, l2, step
-        self.best = [(np.empty(0), np.empty(0, np.int64))] * len(queries)
+        self.floor = np.full(len(queries), -np.inf)  # score of the k-th best so far
+        self.pos, self.ids, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
 
     def add(self, ids: np.ndarray, v: np.ndarray) -> None:
+        slack = 10.0**-TIE_DIGITS if not self.l2 else 1e-9
+        new: list[tuple[np.ndarray, ...]] = [(self.pos, self.ids, self.score)]
         for lo in range(0, len(self.q), self.step):
             block = _scores(self.q[lo : lo + self.step], v, self.l2)
-            for i, row in enumerate(block, start=lo):
-                self._merge(i, row, ids, v)
-
-    def _merge(self, i: int, row: np.ndarray, ids: np.ndarray, v: np.ndarray) -> None:
-        slack = 10.0**-TIE_DIGITS if not self.l2 else 1e-9
-        old_s, old_i = self.best[i]
-        floor = old_s[-1] if len(old_s) == self.k else -np.inf
-        if len(row) > self.k:
-            floor = max(floor, np.partition(row, -self.k)[-self.k])
-        cand = np.flatnonzero(row >= floor - slack)
-        if not len(cand):
-            return
-        new = row[cand]
-        if self.l2:
-            diff = v[cand] - self.q[i]
-            new = -np.einsum("ij,ij->i", diff, diff)
-        s, n = np.concatenate([old_s, new]), np.concatenate([old_i, ids[cand]])
-        order = np.lexsort((n, -np.round(s, TIE_DIGITS)))[: self.k]
-        self.best[i] = (s[order], n[order])
+            floor = self.floor[lo : lo + self.step]
+            if block.shape[1] > self.k:
+                floor = np.maximum(floor, np.partition(block, -self.k, axis=1)[:, -self.k])
+            row, col = np.nonzero(block >= (floor - slack)[:, None])
+            score = block[row, col]
+            if self.l2:
+                diff = v[col] - self.q[row + lo]
+                score = -np.einsum("ij,ij->i", diff, diff)
+            new.append((row + lo, ids[col], score))
+        self._keep(*(np.concatenate(x) for x in zip(*new)))
+
+    def _keep(self, pos: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        order = np.lexsort((ids, -np.round(score, TIE_DIGITS), pos))
+        pos, ids, score = pos[order], ids[order], score[order]
+        first = np.searchsorted(pos, pos)  # where the query's rows begin
+        best = np.arange(len(pos)) - first < self.k
+        self.pos, self.ids, self.score = pos[best], ids[best], score[best]
+        n = np.bincount(self.pos, minlength=len(self.q))
+        full = n == self.k
+        self.floor[full] = self.score[np.cumsum(n)[full] - 1]
 
     def rows(self):
         """(query position, id, score) arrays; distances are positive again."""
-        pos = np.concatenate([np.full(len(n), i) for i, (_, n) in enumerate(self.best)] or [[]])
-        score = np.concatenate([s for s, _ in self.best] or [np.empty(0)])
-        ids = np.concatenate([n for _, n in self.best] or [np.empty(0, np.int64)])
-        return pos.astype(np.int64), ids.astype(np.int64), -score if self.l2 else score
+        return self.pos, self.ids, -self.score if self.l2 else self.score
+
+
+DENSE = 0.02  # share of pairs left by the bound above which the whole block is multiplied
 
 
-def pairs_above(left_ids, left, right_ids, right, later, threshold: float, step: int = 512):
-    """Batches of (i, j, similarity) with i < j above the threshold.
+def pairs_above(left_ids, left, right_ids, right, same: bool, threshold: float, step: int = 512, head: float = 0.25):
+    """Batches of (i, j, similarity) of unit rows above the threshold, each pair with the smaller id first.
 
-    A right row that is not `later` belongs to the same block, so it meets lower ids only.
+    Dimensions are put in order of their weight. Over the first of them (`head`) the dot products are
+    worked out for all pairs; what the others can add is at most the product of their norms, and only
+    pairs that may still pass are finished. With `same` both sides are one block: its pairs come once.
     """
+    if not len(left) or not len(right):
+        return
+    order = np.argsort(-np.einsum("ij,ij->j", left, left), kind="stable")
+    left, right = left[:, order], right[:, order]
+    h = max(1, round(head * left.shape[1]))
+    rest = [np.sqrt(np.einsum("ij,ij->i", x[:, h:], x[:, h:])) for x in (left, right)]
     for lo in range(0, len(left), step):
-        sims = left[lo : lo + step] @ right.T
-        a, b = np.nonzero(sims > threshold)
-        i, j = left_ids[a + lo], right_ids[b]
-        keep = later[b] | (i < j)
+        some = left[lo : lo + step]
+        part = some[:, :h] @ right[:, :h].T
+        open_ = part + rest[0][lo : lo + step, None] * rest[1][None, :] > threshold - 1e-9
+        if same:
+            open_ &= left_ids[lo : lo + step, None] < right_ids[None, :]
+        a, b = np.nonzero(open_)
+        if len(a) > DENSE * open_.size:
+            found = (part + some[:, h:] @ right[:, h:].T)[a, b]
+        else:
+            found = np.einsum("ij,ij->i", some[a], right[b])
+        keep = (found > threshold) & (left_ids[a + lo] != right_ids[b])
         if keep.any():
-            a, b, i, j = a[keep], b[keep], i[keep], j[keep]
-            yield np.minimum(i, j), np.maximum(i, j), sims[a, b]
+            i, j = left_ids[a[keep] + lo], right_ids[b[keep]]
+            yield np.minimum(i, j), np.maximum(i, j), found[keep]

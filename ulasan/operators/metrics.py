@@ -117,8 +117,8 @@ def roc_auc(scored: DataFrame, actual: str = "actual", score: str = "score") ->
     """Exact area under the ROC curve; null with one class only.
 
     Equal scores are merged first and stored, so the rows are scored once. The count of negatives
-    below each score comes from bucketed running sums, so nearly distinct scores do not meet in one
-    task.
+    below each score comes from running sums over ranges whose number follows the scores, so nearly
+    distinct scores do not meet in one task.
     """
     by_score = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")

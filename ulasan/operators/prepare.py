@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ulasan.functions import text as tx
+from ulasan.operators.ranking import mapped
+from ulasan.session import stored
 from ulasan.settings import REQUIRED_COLUMNS, CleanRules
 
 
@@ -30,15 +33,46 @@ def validate(df: DataFrame) -> DataFrame:
     )
 
 
+def row_digest(df: DataFrame, cols: list[str]) -> Column:
+    """256 bits that two rows share if their values do; nulls, zeros of either sign and NaN are equal."""
+    parts = []
+    for c in cols:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+            written = F.to_json(F.struct(c), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+        elif isinstance(kind, T.BinaryType):
+            written = F.hex(c)
+        else:
+            x = F.col(f"`{c}`")
+            written = (x + F.lit(0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else x).cast("string")
+        # The length parts a value from the next one.
+        parts.append(F.coalesce(F.concat(F.length(written).cast("string"), F.lit(":"), written), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def dedup_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     """Whole-row duplicates out; with `row_id`, the lowest id of the source columns stays.
 
-    Copies are merged in each map task before the shuffle, so a hot group shrinks at once.
+    With an id, rows are grouped by a digest of their columns, so only digests and ids are shuffled. The
+    ids that go are sent to the rows where their counted size allows it, and then no row is moved either;
+    more of them meet the rows in a shuffle by id. Without an id, copies are merged in each map task first.
     """
     if row_id is None:
         return df.distinct()
     cols = [c for c in df.columns if c != row_id]
-    return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(*df.columns)
+    if not cols or df.where(F.col(row_id).isNull()).limit(1).count():
+        return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(*df.columns)
+    keyed = stored(df.select(row_digest(df, cols).alias("_digest"), F.col(row_id).alias("_id")), "digests")
+    first = keyed.groupBy("_digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    copied = stored(first.where("_n > 1").drop("_n"), "copied")
+    few = mapped(copied)
+    copies = keyed.join(copied if few is None else few, "_digest")
+    if not copies.where(F.col("_id") == F.col("_first")).groupBy("_digest").count().where("count > 1").isEmpty():
+        # Ids that are given twice don't tell copies apart.
+        return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(*df.columns)
+    gone = stored(copies.where(F.col("_id") > F.col("_first")).select(F.col("_id").alias("_gone")), "gone")
+    few = mapped(gone)
+    return df.join(gone if few is None else few, F.col(row_id) == F.col("_gone"), "left_anti")
 
 
 def drop_null_reviews(df: DataFrame) -> DataFrame:

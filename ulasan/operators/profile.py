@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ulasan.functions import text as tx
 from ulasan.functions.vector import l2_norm, row_mean, row_std
-from ulasan.operators.ranking import beside, exact_percentiles
+from ulasan.operators.ranking import beside, exact_quantiles, mapped
+from ulasan.session import stored
 
 
 def _share(n: Column, total: Column) -> Column:
@@ -168,44 +169,43 @@ DESCRIBED = ("column_name", "count", "mean", "std", "min", "p25", "p50", "p75",
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per column.
 
-    NaN counts as null. A column without values has count 0 and nulls. Distinct values of a column
-    never meet in one task, whatever its type.
+    NaN counts as null. A column without values has count 0 and nulls. One scan gives the figures, the
+    quartiles take two more however large the table is (see `ranking.exact_quantiles`), and nothing but
+    aggregates is shuffled. Cells of the result are as many as the columns have figures.
     """
     df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    figures = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    row = df.agg(*[f(c).alias(f"{c}_{m}") for c in cols for m, f in figures.items()])
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}_{m}").alias(m) for m in figures])
-        for c in cols
-    ]
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value"
-    )
-    quartiles = exact_percentiles(values, "value", QUARTILES, ["column_name"])
-    per_column = row.select(F.inline(F.array(*entries)))
-    return per_column.join(quartiles, "column_name", "left").select(*DESCRIBED)
+    figures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[f(c).alias(f"{c}_{m}") for c in cols for m, f in figures.items()]).first()
+    found = exact_quantiles(df, QUARTILES, {c: row[f"{c}_count"] for c in cols})
+    rows = []
+    for c in cols:
+        cells = {"column_name": c, **{m: row[f"{c}_{m}"] for m in figures}, **found[c]}
+        rows.append(tuple(cells[x] for x in DESCRIBED))
+    kinds = {"column_name": "string", "count": "long"}
+    return df.sparkSession.createDataFrame(rows, ", ".join(f"`{x}` {kinds.get(x, 'double')}" for x in DESCRIBED))
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:
-    """Count, distinct values, and the most frequent value; the smallest wins a tie."""
-    counts = value_counts(df, col)
-    best = counts.select("n", F.col(col).alias("v")).orderBy(F.desc("n"), "v").limit(1)
-    totals = counts.agg(F.sum("n").alias("count"), F.count("*").alias("unique"))
-    # Without any value there is no best row, and the totals stand alone.
-    none = totals.select(F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("v"))
-    best = best.unionByName(none).orderBy(F.desc("n"), "v").limit(1)
-    return beside(totals, best).select(
+    """Count, distinct values, and the most frequent value; the smallest wins a tie.
+
+    Values are counted by their digest. Only those that are as frequent as the most frequent one are then
+    looked at as texts, and each task gives the smallest of its own, so no text is a shuffle key.
+    """
+    texts = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("_v"))
+    digest = F.sha2("_v", 256).alias("_d")
+    counts = stored(texts.groupBy(digest).agg(F.count("*").alias("n")), "digests")
+    total, unique, most = counts.agg(F.sum("n"), F.count("*"), F.max("n")).first()
+    tied = texts
+    if most is not None and most > 1:
+        best = stored(counts.where(F.col("n") == most).select("_d"), "tied")
+        few = mapped(best)
+        tied = texts.withColumn("_d", digest).join(best if few is None else few, "_d", "left_semi")
+    return tied.agg(F.min("_v").alias("top")).select(
         F.lit(col).alias("column_name"),
-        F.coalesce("count", F.lit(0)).alias("count"),
-        "unique",
-        F.col("v").alias("top"),
-        F.when(F.col("n") > 0, F.col("n")).alias("freq"),
+        F.lit(total or 0).cast("long").alias("count"),
+        F.lit(unique).cast("long").alias("unique"),
+        "top",
+        F.lit(most).cast("long").alias("freq"),
     )
 
 

@@ -4,26 +4,26 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ulasan.functions.text import label_name
 from ulasan.functions.vector import cosine, l2_normalize
 from ulasan.operators import kernels
 from ulasan.operators.sampling import random_sample
-from ulasan.session import scratch_path, stored
+from ulasan.session import stored
 from ulasan.settings import IndexParams
 
 HITS = "query_id long, vec_id long, score double"
 PAIRS = "i long, j long, similarity double"
+CROWDED = 1000  # rows of a bucket of the banded search that one task may pair
 KNN = 10  # neighbours looked at by the k-nearest form of the near-duplicate search, by default
 
 
@@ -97,55 +97,84 @@ def index_statistics(index: DataFrame, params: IndexParams = IndexParams(), labe
     )
 
 
-# --- chunks of a stored side --------------------------------------------------
+# --- grids --------------------------------------------------------------------
 
 
-def _chunked(rows: DataFrame, key: str, vec: str, params: IndexParams) -> tuple[DataFrame, int]:
-    """`rows` (key, vec) without null vectors, stored by a column `chunk`, and the number of chunks.
+def _held(width: int | None, params: IndexParams) -> int:
+    """Rows of a side that one task may hold: `max_query_rows`, or `max_broadcast_bytes` of doubles."""
+    return max(1, min(params.max_query_rows, params.max_broadcast_bytes // (8 * max(1, width or 0))))
 
-    A chunk is about `max_query_rows` rows or `max_broadcast_bytes` of float32, whichever is less, so
-    it can be held by every task. The rows are often the end of a long plan: they are computed once.
-    """
-    rows = stored(rows.select(key, vec), "rows")
-    shape = rows.where(F.col(vec).isNotNull()).agg(F.count("*"), F.max(F.size(vec))).first()
-    held = max(1, min(params.max_query_rows, params.max_broadcast_bytes // (4 * max(1, shape[1] or 0))))
-    chunks = max(1, math.ceil(shape[0] / held))
-    if chunks == 1:
-        return rows.where(F.col(vec).isNotNull()).withColumn("chunk", F.lit(0)), 1
-    path = scratch_path(rows.sparkSession, "chunks")
-    (
-        rows.where(F.col(vec).isNotNull())
-        .withColumn("chunk", F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int"))
-        .repartition("chunk")
-        .write.partitionBy("chunk")
-        .parquet(path)
-    )
-    return rows.sparkSession.read.parquet(path), chunks
 
+def _shape(rows: DataFrame, vec: str) -> tuple[int, int | None]:
+    n, width = rows.agg(F.count(vec), F.max(F.size(vec))).first()
+    return n, width
+
+
+def _parts(n: int, held: int, tasks: int) -> int:
+    """Parts of a side such that none has much over `held` rows, and small sides still make `tasks`."""
+    return max(1, math.ceil(n / held), min(math.ceil(n / 2048), tasks))
 
-def _per_chunk(
-    chunked: DataFrame,
-    chunks: int,
-    key: str,
-    vec: str,
-    normalize: bool,
-    meet: Callable[[int, Broadcast], DataFrame],
-) -> DataFrame:
-    """What `meet` finds for each chunk, stored chunk by chunk, so one chunk at a time is broadcast."""
-    spark = chunked.sparkSession
-    path = scratch_path(spark, "found")
-    for c in range(chunks):
-        rows = chunked.where(F.col("chunk") == c).select(key, vec).toArrow()
-        vecs = kernels.matrix(rows.column(1), normalize) if rows.num_rows else np.zeros((0, 1))
-        shared = spark.sparkContext.broadcast((rows.column(0).to_numpy(), vecs))
-        meet(c, shared).write.mode("append").parquet(path)
-        shared.destroy()
-    return spark.read.parquet(path)
+
+def _part(key: str, vec: str, parts: int) -> Column:
+    """The part of a row, by all it holds: rows that share an id are spread too."""
+    return F.pmod(F.xxhash64(key, vec), F.lit(parts)).cast("int")
+
+
+def _every(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
 
 # --- top-k search -----------------------------------------------------------
 
 
+def _hits_of(top: kernels.TopK, ids: np.ndarray) -> pa.RecordBatch:
+    pos, vec_id, score = top.rows()
+    columns = [pa.array(ids[pos], pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
+
+def _search_in_place(index: DataFrame, asked: DataFrame, vec: str, qvec: str, k: int, params: IndexParams) -> DataFrame:
+    """Hits of a query set that is known to be small: it is sent to the tasks that scan the index."""
+    rows = asked.select("query_id", qvec).toArrow()  # at most `_held` rows
+    held = (np.asarray(rows.column(0)), kernels.matrix(rows.column(1), params.normalize) if rows.num_rows else np.zeros((0, 1)))
+    shared, l2 = index.sparkSession.sparkContext.broadcast(held), _is_l2(params)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        top = kernels.TopK(q, k, l2)
+        for b in batches:
+            b = b.filter(b.column(1).is_valid())
+            if b.num_rows and len(ids):
+                top.add(b.column(0).to_numpy(), kernels.matrix(b.column(1), params.normalize))
+        yield _hits_of(top, ids)
+
+    return index.select("vec_id", vec).mapInArrow(scan, HITS)
+
+
+def _search_by_grid(
+    index: DataFrame, asked: DataFrame, n: int, held: int, vec: str, qvec: str, k: int, params: IndexParams
+) -> DataFrame:
+    """Hits of a query set of any size. Parts of the queries and parts of the index meet in the cells of
+    a grid, each small enough to be held by a task; all cells are one job."""
+    index = index.select("vec_id", vec).where(F.col(vec).isNotNull())
+    cores, l2 = index.sparkSession.sparkContext.defaultParallelism, _is_l2(params)
+    down = _parts(n, held, 1)
+    across = _parts(index.count(), held, math.ceil(2 * cores / down))
+    left = asked.select(_part("query_id", qvec, down).alias("_g"), _every(across).alias("_s"), "query_id", qvec)
+    right = index.select(_every(down).alias("_g"), _part("vec_id", vec, across).alias("_s"), "vec_id", vec)
+
+    def meet(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        ids = np.asarray(queries.column("query_id"))
+        top = kernels.TopK(kernels.matrix(queries.column(qvec), params.normalize) if len(ids) else np.zeros((0, 1)), k, l2)
+        if len(ids) and rows.num_rows:
+            found, vecs = np.asarray(rows.column("vec_id")), kernels.matrix(rows.column(vec), params.normalize)
+            for at in range(0, len(found), 4096):
+                top.add(found[at : at + 4096], vecs[at : at + 4096])
+        return pa.Table.from_batches([_hits_of(top, ids)])
+
+    return left.groupBy("_g", "_s").cogroup(right.groupBy("_g", "_s")).applyInArrow(meet, HITS)
+
+
 def search(
     index: DataFrame,
     queries: DataFrame,
@@ -156,35 +185,24 @@ def search(
 ) -> DataFrame:
     """Exact top-k rows per query: `query_id, rank, vec_id, similarity` (or `distance` for L2).
 
-    The queries are stored once and sent chunk by chunk to the tasks that scan the index in place;
-    each task keeps its own k best per query. Neither side is shuffled or copied, and only hits are
-    ranked. Ties go to the lower `vec_id`; `k` is at least one, and a small index gives fewer rows.
-    Rows without a vector take no part.
+    The queries are stored once and counted. Up to `max_query_rows` of them (and `max_broadcast_bytes`)
+    are sent to the tasks that scan the index, and neither side is shuffled. More of them meet the index
+    in a grid of cells, in one job and past the driver. Each task or cell gives its own k best, of which
+    the best are ranked. Ties go to the lower `vec_id`; `k` is at least one, and a small index gives
+    fewer rows. Rows without a vector take no part.
     """
     k, l2 = max(1, k), _is_l2(params)
-    chunked, chunks = _chunked(queries, "query_id", qvec, params)
+    asked = stored(queries.select("query_id", qvec).where(F.col(qvec).isNotNull()), "queries")
+    n, width = _shape(asked, qvec)
+    held = _held(width, params)
+    if n <= held:
+        found = _search_in_place(index, asked, vec, qvec, k, params)
+    else:
+        found = _search_by_grid(index, asked, n, held, vec, qvec, k, params)
     nearest = F.round("score", kernels.TIE_DIGITS)
     order = Window.partitionBy("query_id").orderBy(nearest if l2 else nearest.desc(), "vec_id")
-
-    def meet(_: int, shared: Broadcast) -> DataFrame:
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            top = kernels.TopK(q, k, l2)
-            for b in batches:
-                b = b.filter(b.column(1).is_valid())
-                if b.num_rows and len(ids):
-                    top.add(b.column(0).to_numpy(), kernels.matrix(b.column(1), params.normalize))
-            pos, vec_id, score = top.rows()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[pos]), pa.array(vec_id), pa.array(score)], ["query_id", "vec_id", "score"]
-            )
-
-        found = index.select("vec_id", vec).mapInArrow(scan, HITS)
-        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-    return _per_chunk(chunked, chunks, "query_id", qvec, params.normalize, meet).select(
-        "query_id", "rank", "vec_id", F.col("score").alias("distance" if l2 else "similarity")
-    )
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", F.col("score").alias("distance" if l2 else "similarity"))
 
 
 def attach_metadata(hits: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -216,27 +234,33 @@ def capped_queries(queries: DataFrame, cap: int = 10, row_index: str = "row_inde
 # --- near duplicates --------------------------------------------------------
 
 
-def _pairs_by_blocks(items: DataFrame, threshold: float, params: IndexParams) -> DataFrame:
-    """Every pair above the threshold: chunk after chunk meets the rows of its own and later chunks."""
-    chunked, chunks = _chunked(items, "vec_id", "unit_vec", params)
+def _paired(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> pa.Table:
+    """Pairs above the threshold of two tables `(vec_id, unit_vec)`."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    if left.num_rows and right.num_rows:
+        ids = [np.asarray(x.column("vec_id")) for x in (left, right)]
+        vecs = [kernels.matrix(x.column("unit_vec"), True) for x in (left, right)]
+        found += kernels.pairs_above(ids[0], vecs[0], ids[1], vecs[1], same, threshold)
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*found)], ["i", "j", "similarity"])
 
-    def meet(c: int, shared: Broadcast) -> DataFrame:
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, held = shared.value
-            for b in batches:
-                if not b.num_rows or not len(ids):
-                    continue
-                later = b.column(2).to_numpy() > c
-                found = kernels.pairs_above(
-                    ids, held, b.column(0).to_numpy(), kernels.matrix(b.column(1), True), later, threshold
-                )
-                for cols in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["i", "j", "similarity"])
 
-        rows = chunked.where(F.col("chunk") >= c).select("vec_id", "unit_vec", "chunk")
-        return rows.mapInArrow(scan, PAIRS)
+def _pairs_by_grid(items: DataFrame, threshold: float, params: IndexParams) -> DataFrame:
+    """Every pair above the threshold: each part meets itself and each later part, all in one job."""
+    n, width = _shape(items, "unit_vec")
+    cores = items.sparkSession.sparkContext.defaultParallelism
+    parts = _parts(n, _held(width, params), math.ceil(math.sqrt(4 * cores)))
+    dealt = items.select(_part("vec_id", "unit_vec", parts).alias("_p"), "vec_id", "unit_vec")
+    later = F.explode(F.sequence(F.col("_p"), F.lit(parts - 1)))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("_p")))
+    # Columns of their own on either side: a cogroup of one table with itself mixes up shared ones.
+    row = (F.col("vec_id").alias("vec_id"), F.col("unit_vec").alias("unit_vec"))
+    left = dealt.select(F.col("_p").alias("_a"), later.alias("_b"), *row)
+    right = dealt.select(earlier.alias("_a"), F.col("_p").alias("_b"), *row)
 
-    return _per_chunk(chunked, chunks, "vec_id", "unit_vec", True, meet)
+    def meet(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        return _paired(a, b, key[0].as_py() == key[1].as_py(), threshold)
+
+    return left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(meet, PAIRS)
 
 
 def bands_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -251,10 +275,13 @@ def bands_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-together)))
 
 
-def _pairs_by_bands(items: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
+def _pairs_by_bands(
+    items: DataFrame, threshold: float, recall: float, seed: int, full: int = CROWDED
+) -> DataFrame:
     """Pairs that share a bucket of random planes in some band, tested by their exact cosine.
 
-    Only keys and ids are copied to the bands; a vector is read by its own row and by its candidates.
+    Only keys and ids are copied to the bands; a vector is read by its own row and by its candidates,
+    and by the cells of buckets of more than `full` rows.
     """
     items = stored(items, "items")
     n, dim = items.agg(F.count("*"), F.max(F.size("unit_vec"))).first()
@@ -278,16 +305,51 @@ def _pairs_by_bands(items: DataFrame, threshold: float, recall: float, seed: int
                 )
 
     keys = stored(items.select("vec_id", "unit_vec").mapInArrow(sign, "id long, band int, key long"), "bands")
-    a, b = keys.withColumnRenamed("id", "i"), keys.withColumnRenamed("id", "j")
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n"))
+    crowded = stored(sizes.where(F.col("n") > full), "crowded")
+    light = keys
+    if not crowded.isEmpty():
+        light = keys.join(crowded, ["band", "key"], "left_anti")
+    a, b = light.withColumnRenamed("id", "i"), light.withColumnRenamed("id", "j")
     candidates = a.join(b, ["band", "key"]).where("i < j").select("i", "j").distinct()
     left = items.select(F.col("vec_id").alias("i"), F.col("unit_vec").alias("_a"))
     right = items.select(F.col("vec_id").alias("j"), F.col("unit_vec").alias("_b"))
-    return (
+    found = (
         candidates.join(left, "i")
         .join(right, "j")
         .select("i", "j", cosine(F.col("_a"), F.col("_b")).alias("similarity"))
         .where(F.col("similarity") > threshold)
     )
+    if crowded.isEmpty():
+        return found
+    # A pair may share several buckets; its similarity can differ in the last digits by way of reckoning.
+    more = _pairs_of_crowded(items, keys.join(crowded, ["band", "key"]), threshold, full)
+    return found.unionByName(more).groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
+
+
+def _pairs_of_crowded(items: DataFrame, keys: DataFrame, threshold: float, full: int) -> DataFrame:
+    """Pairs above the threshold in buckets of more than `full` rows.
+
+    Further planes would part near vectors too, so a bucket is dealt into parts of about `full` rows and
+    each two of them meet in a cell of their own: no pair of the bucket is lost, no task holds more than
+    two parts, and only pairs that pass leave the cell.
+    """
+    parts = F.ceil(F.col("n") / F.lit(full)).cast("int")
+    dealt = keys.select(
+        "band", "key", "id", parts.alias("_n"), F.pmod(F.xxhash64("id"), parts.cast("long")).cast("int").alias("_p")
+    ).join(items.select(F.col("vec_id").alias("id"), "unit_vec"), "id")
+    later = F.explode(F.sequence(F.col("_p"), F.col("_n") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("_p")))
+    cell = ("band", "key", "_a", "_b")
+    row = (F.col("id").alias("vec_id"), F.col("unit_vec").alias("unit_vec"))
+    bucket = (F.col("band").alias("band"), F.col("key").alias("key"))
+    left = dealt.select(*bucket, F.col("_p").alias("_a"), later.alias("_b"), *row)
+    right = dealt.select(*bucket, earlier.alias("_a"), F.col("_p").alias("_b"), *row)
+
+    def meet(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        return _paired(a, b, key[2].as_py() == key[3].as_py(), threshold)
+
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(meet, PAIRS)
 
 
 def near_duplicates(
@@ -298,6 +360,7 @@ def near_duplicates(
     recall: float = 0.99,
     k: int = KNN,
     seed: int = 42,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Near-duplicate pairs `(i, j, similarity, kind)` with `i < j` and cosine above the threshold.
 
@@ -305,11 +368,12 @@ def near_duplicates(
     returned once, between the lowest ids of both vectors (kind `near`), and each further copy is linked
     to the lowest id of its own vector with similarity 1 (kind `copy`). A group of m copies thus gives
     m - 1 rows, from which all its pairs follow, and no task meets the whole group. The work is
-    quadratic, but a vector is stored once and broadcast once.
+    quadratic, in a grid of cells of bounded size; a cell finishes only pairs that a bound on part of
+    the dimensions leaves open.
 
     `banded`: the same rows, with pairs of distinct vectors looked for in bands of random planes. Each
     pair at the threshold is found with chance `recall`, closer ones more surely; what is returned is
-    exact. This is the form for large tables.
+    exact. Buckets of more than `crowded` rows are dealt over many tasks. This is the form for large tables.
 
     `knn10`: the `k` (ten) nearest of each row by similarity then id, the first dropped as the row
     itself. Of one group of copies only the k lowest ids can be among anyone's k nearest, and a
@@ -341,9 +405,9 @@ def near_duplicates(
     )
     items = groups.select(F.col("rep").alias("vec_id"), "unit_vec")
     if mode == "pairs":
-        near = _pairs_by_blocks(items, threshold, params)
+        near = _pairs_by_grid(items, threshold, params)
     else:
-        near = _pairs_by_bands(items, threshold, recall, seed)
+        near = _pairs_by_bands(items, threshold, recall, seed, crowded)
     # Rows of one hot vector are spread over several join keys.
     salts = 32
     copied = groups.filter(F.col("n") > 1).select(
