@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 LOWER = bytes(ord(".") if b in ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 DEPTH = 4
 TEXT_STEP = 1 << 20
+STEP_ROWS = 1 << 19
 FILTER_BITS = 1 << 29  # at most 64 MB
 U64 = np.uint64
 
@@ -73,7 +74,7 @@ def packed(ids: np.ndarray) -> bytes:
 
 def unpacked(data: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").reshape(-1)
 
 
 class Side:
@@ -81,12 +82,13 @@ class Side:
 
     def __init__(self, bwt: np.ndarray):
         self.bwt, self.n = bwt, len(bwt)
-        self.occurrences = np.sort(bwt * self.n + np.arange(self.n))
+        self.occurrences = bwt.astype(np.int64) * self.n + np.arange(self.n)
+        self.occurrences.sort()
 
     def first(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Rows that begin with a smaller id, and those that begin with `ids` and stand before `rows`
         once their first id is taken off: where the extended interval begins."""
-        return np.searchsorted(self.occurrences, ids * self.n + rows)
+        return np.searchsorted(self.occurrences, ids.astype(np.int64) * self.n + rows)
 
 
 @dataclass
@@ -110,7 +112,7 @@ class Index:
         self.size = size
 
     def words(self) -> Nodes:
-        ids = np.arange(1, self.size)
+        ids = np.arange(1, self.size, dtype=np.int32)
         first = self.sides[0].first(ids, np.zeros_like(ids))
         count = np.append(first[1:], self.sides[0].n) - first
         return Nodes(ids[:, None], count, first, first.copy())
@@ -130,15 +132,27 @@ class Index:
         shift = before - before[np.searchsorted(node, node)]
         near, far = side.first(word, here[node]), there[node] + shift
         grams = nodes.grams[node]
-        grams = np.hstack([grams, word[:, None]] if right else [word[:, None], grams])
+        new = word[:, None].astype(grams.dtype)
+        grams = np.hstack([grams, new] if right else [new, grams])
         found = Nodes(grams, count, *((far, near) if right else (near, far)))
         return found.keep(word > 0)
 
+    def extended(self, nodes: Nodes, right: bool, wanted: Callable[[np.ndarray], np.ndarray]) -> Nodes:
+        """The extensions by one word whose n-grams are `wanted`, some nodes at a time, so that no more
+        than about `STEP_ROWS` rows (or those of one n-gram) and what is kept are held."""
+        step = np.cumsum(nodes.count) // STEP_ROWS
+        starts = np.flatnonzero(np.diff(step, prepend=-1)) if len(step) else np.zeros(1, np.int64)
+        out = []
+        for lo, hi in zip(starts, [*starts[1:], len(step)]):
+            found = self._extended(nodes.keep(slice(lo, hi)), right)
+            out.append(found.keep(wanted(found.grams)))
+        return Nodes(*(np.concatenate([getattr(x, f) for x in out]) for f in ("grams", "count", "forward", "backward")))
+
     def left(self, nodes: Nodes) -> Nodes:
-        return self._extended(nodes, False)
+        return self.extended(nodes, False, lambda grams: np.ones(len(grams), bool))
 
     def right(self, nodes: Nodes) -> Nodes:
-        return self._extended(nodes, True)
+        return self.extended(nodes, True, lambda grams: np.ones(len(grams), bool))
 
 
 # --- shards of a table --------------------------------------------------------
@@ -315,21 +329,20 @@ def enumerated(index: DataFrame, depth: int, filters: list[Filter]) -> DataFrame
                 fm = Index(forward, backward, len(ids))
                 known = lambda grams, k: shared[k - 1].value.holds(ids[grams])
                 nodes = fm.words()
-                nodes = nodes.keep(known(nodes.grams, 1))
+                nodes = nodes.keep(known(nodes.grams, 1).astype(bool))
                 for k in range(2, depth + 1):
-                    # The n-gram that is extended was kept; the other n-gram inside is tested too.
-                    if k % 2:
-                        nodes = fm.right(nodes)
-                        other = nodes.grams[:, 1:]
-                    else:
-                        nodes = fm.left(nodes)
-                        other = nodes.grams[:, :-1]
-                    nodes = nodes.keep(known(other, k - 1))
-                    if k < depth:
-                        nodes = nodes.keep(known(nodes.grams, k))
-                words = ids[nodes.grams]
-                for at in range(0, len(words), 1 << 17):
-                    some = words[at : at + (1 << 17)]
+                    right = bool(k % 2)
+
+                    def wanted(grams: np.ndarray, k: int = k, right: bool = right) -> np.ndarray:
+                        # The n-gram that was extended is frequent; the other one inside is tested too.
+                        out = known(grams[:, 1:] if right else grams[:, :-1], k - 1).astype(bool)
+                        if k < depth:
+                            out[out] = known(grams[out], k)
+                        return out
+
+                    nodes = fm.extended(nodes, right, wanted)
+                for at in range(0, len(nodes.count), 1 << 17):
+                    some = ids[nodes.grams[at : at + (1 << 17)]]
                     columns = [pa.array(np.ascontiguousarray(some[:, i])) for i in range(depth)]
                     count = pa.array(nodes.count[at : at + (1 << 17)].astype(np.int64))
                     yield pa.RecordBatch.from_arrays([*columns, count], [*names, "a"])
@@ -369,7 +382,7 @@ def frequent_phrases(
     docs: DataFrame,
     longest: int = DEPTH,
     least: int = 30,
-    shard_words: int = 4_000_000,
+    shard_words: int = 2_000_000,
     lang_col: str = "lang",
     text_col: str = "text",
     filter_bits: int = FILTER_BITS,
@@ -436,7 +449,7 @@ def collocations(
     least: int = 30,
     top: int = 2000,
     share: int = 80,
-    shard_words: int = 4_000_000,
+    shard_words: int = 2_000_000,
     lang_col: str = "lang",
     text_col: str = "text",
     **options,
