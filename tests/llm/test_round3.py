@@ -278,6 +278,26 @@ def test_pair_tree_yields_the_least_key():
             assert tree.root() == min(keys)
 
 
+def test_words_merged_side_by_side_equal_words_merged_alone():
+    rng = random.Random(7)
+    b = bpe.Bpe(tokenizer_path())
+    words = [bytes(rng.randrange(256) for _ in range(rng.randint(1, 64))) for _ in range(300)]
+    words += ["".join(rng.choice("the andion") for _ in range(rng.randint(1, 64))).encode() for _ in range(700)]
+    assert b.merged_many(words) == [np.array(b.merged(w), "<u4").tobytes() for w in words]
+    assert b.merged_many([]) == []
+
+
+def test_long_texts_are_cut_without_a_trace(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TEXT_STEP", 20)
+    monkeypatch.setattr(bpe, "HELD_WORDS", 5)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 9)
+    rng = random.Random(8)
+    b = bpe.Bpe(tokenizer_path())
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "b", "'s", " ", "  ", "\n", "1", "!", chr(0xA0), "<|endoftext|>"]) for _ in range(200))
+        assert b.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_other_tokenizers_are_refused(tmp_path):
     path = tmp_path / "t.json"
     path.write_text('{"model": {"type": "WordPiece", "vocab": {}}, "pre_tokenizer": null}')
