@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with a five-word similarity of 0.8 the document with the smallest id stays."""
-    return simhash.drop_similar_copies(docs, words=5, similarity=0.8)
+    """Of each group of fingerprints linked at 4 or fewer bits the document with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs, shingle=4, max_bits=4)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("pack_sequences", pack_sequences),
 ]
 
-#: The learned rules, the similarity groups and the tokenizer cannot be stated in SQL.
+#: The learned rules, the fingerprints and the tokenizer cannot be stated in SQL.
 ORACLE_SQL: str | None = None
 
 
