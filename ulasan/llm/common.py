@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,16 @@ def two_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def sheltered(docs: DataFrame, known: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `work` makes of `docs`, with all columns but the `known` ones under names that clash with none.
+
+    `work` returns the columns it got, in their order; their names come back afterwards.
+    """
+    names = docs.columns
+    inner = docs.toDF(*(c if c in known else f"other column {i}" for i, c in enumerate(names)))
+    return work(inner).select(*(f"`{c}`" for c in inner.columns)).toDF(*names)
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, max_rows: int, salt: str
 ) -> DataFrame:

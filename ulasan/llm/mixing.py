@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ulasan.llm.common import WORD, two_columns
+from ulasan.llm.common import WORD, sheltered
 from ulasan.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -143,13 +143,16 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` (with `doc_id`, `text`, `source`), each as often as the mix takes it.
 
-    A row without an id is kept once, because its copies cannot be told apart.
+    A row without an id is kept once, because its copies cannot be told apart; rows that share an id are
+    one document, whose first count in order of size decides. Other columns stay, whatever their names;
+    null texts have size 0; an empty table stays empty; very long texts are counted whole.
     """
-    taken = mix(docs, **options).where("doc_id IS NOT NULL")
-    # Rows that share an id are one document here: the first count in order of size decides.
-    taken = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.min("copies").alias("_copies"))
-    joined = docs.join(taken, docs["doc_id"] == taken["_id"], "left")
-    times = F.coalesce("_copies", F.lit(1)).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(
-        *(docs[c] for c in docs.columns)
-    )
+
+    def taken_rows(rows: DataFrame) -> DataFrame:
+        taken = mix(rows, **options).where("doc_id IS NOT NULL")
+        taken = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.min("copies").alias("_copies"))
+        joined = rows.join(taken, F.col("doc_id") == F.col("_id"), "left")
+        times = F.coalesce("_copies", F.lit(1)).cast("int")
+        return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
+
+    return sheltered(docs, ("doc_id", "text", "source"), taken_rows)

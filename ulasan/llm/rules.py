@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ulasan.llm.common import held_out, words
+from ulasan.llm.common import held_out, sheltered, words
 from ulasan.session import stored
 
 #: The statistics that rules may test.
@@ -292,11 +292,17 @@ def judge(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` (with `doc_id`, `text`) that the rules keep; columns stay as they are."""
-    rows = stored(with_statistics(docs), "statistics")
-    known = labels.select(
-        F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label")
-    ).where(~held_out(F.col("_id")))
-    seen = rows.select("doc_id", "_stats")
-    model = learn(seen.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "label", "_stats"), **options)
-    return rows.where(~base_failed(F.col("_base")) & model.keeps(F.col("_stats"))).select(*docs.columns)
+    """The rows of `docs` (with `doc_id`, `text`) that the rules keep; columns stay as they are, whatever
+    their names. Null and empty texts fail the base rules; very long ones are judged whole; repeated rows
+    stay or go together; rows without an id are judged but not learned from; an empty table stays empty."""
+
+    def keep(plain: DataFrame) -> DataFrame:
+        rows = stored(with_statistics(plain), "statistics")
+        known = labels.select(
+            F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label")
+        ).where(~held_out(F.col("_id")))
+        seen = rows.select("doc_id", "_stats")
+        model = learn(seen.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "label", "_stats"), **options)
+        return rows.where(~base_failed(F.col("_base")) & model.keeps(F.col("_stats")))
+
+    return sheltered(docs, ("doc_id", "text"), keep)

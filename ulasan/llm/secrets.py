@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ulasan.llm.common import sheltered
 from ulasan.session import stored
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -262,16 +263,22 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with secrets replaced in `text` and `n_chars` counted anew; null texts stay null."""
-    model = train(stored(samples_from(docs, **options), "secret-samples"))
-    out = scan(docs, model)
-    changed = F.size("_spans") > 0
-    out = out.withColumn(
-        "text", F.when(changed, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    )
-    if "n_chars" in docs.columns:
+    """`docs` with secrets replaced in `text` and `n_chars` counted anew; null texts stay null, and other
+    columns as they are, whatever their names. Repeated rows and null ids are rows like others; an empty
+    table stays empty; very long texts are scanned whole."""
+
+    def replaced(rows: DataFrame) -> DataFrame:
+        model = train(stored(samples_from(rows, **options), "secret-samples"))
+        out = scan(rows, model)
+        changed = F.size("_spans") > 0
         out = out.withColumn(
-            "n_chars",
-            F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")),
+            "text", F.when(changed, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
         )
-    return out.select(*docs.columns)
+        if "n_chars" in rows.columns:
+            out = out.withColumn(
+                "n_chars",
+                F.when(changed, F.length("text").cast(rows.schema["n_chars"].dataType)).otherwise(F.col("n_chars")),
+            )
+        return out
+
+    return sheltered(docs, ("doc_id", "text", "n_chars"), replaced)

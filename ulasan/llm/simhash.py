@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ulasan.llm.common import two_columns
+from ulasan.llm.common import sheltered, two_columns
 from ulasan.session import stored
 
 FANOUT = 16
@@ -55,30 +55,14 @@ def shingle_hashes(text: str | None, shingle: int, step: int = 1 << 16) -> Itera
         yield np.fromiter([digest(joined[a:b], 42) for a, b in spans], U64, min(step, n - at))
 
 
-def remixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """Other hashes of the same shingles: number 0 is the hash itself, the rest a mix of it."""
-    if number == 0:
-        return hashes
-    x = hashes + U64(number * 0x9E3779B97F4A7C15 % 2**64)
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
-
-
-def several_fingerprints(text: str | None, shingle: int, several: int) -> np.ndarray:
-    """`several` SimHashes over all word shingles, repeats included; no word gives zeros."""
-    n, set_bits = 0, np.zeros((several, 64), np.int64)
-    for hashes in shingle_hashes(text, shingle):
-        n += len(hashes)
-        for i in range(several):
-            octets = remixed(hashes, i).astype(">u8").view(np.uint8).reshape(-1, 8)
-            set_bits[i] += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * set_bits > n, axis=1).view(">u8").astype(U64).reshape(several)
-
-
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """SimHash over all word shingles, repeats included; no word gives zero."""
-    return int(several_fingerprints(text, shingle, 1)[0])
+    n, set_bits = 0, np.zeros(64, np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        n += len(hashes)
+        octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+        set_bits += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > n).view(">u8").astype(U64)[0])
 
 
 def fingerprints(
@@ -476,305 +460,25 @@ def near_duplicates(
     )
 
 
-def near_copies(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 2,
-    max_bits: int = 4,
-    several: int = 8,
-    blocks: int | None = None,
-) -> DataFrame:
-    """`(doc_id, component_id)` per row, linked where any of `several` fingerprints is near.
-
-    A copy with a five-word similarity of 0.8 shares nine tenths of its four-word shingles, so one
-    fingerprint of them differs in about eight bits and few such copies are within four. Two-word
-    shingles suffer half as much from a scattered edit of one word (not from an appended or cut passage),
-    and each independent fingerprint is another chance, while unrelated texts stay about thirty bits apart. Nulls, ties, empty texts and tables behave as in
-    `near_duplicates`; rows whose fingerprints are all equal are one node.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
-        for batch in batches:
-            values = [
-                several_fingerprints(t.as_py(), shingle, several).view(np.int64) for t in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind)], ["doc_id", "fps"])
-
-    rows = two_columns(docs, id_col, text_col)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    marked = stored(rows.mapInArrow(run, f"doc_id {id_type}, fps array<long>"), "simhash")
-    distinct = stored(
-        marked.where("doc_id IS NOT NULL").groupBy("fps").agg(F.min("doc_id").cast("long").alias("id")),
-        "simhash-distinct",
-    )
-    each = distinct.select("id", F.posexplode("fps").alias("kind", "fp"))
-    first = stored(each.groupBy("kind", "fp").agg(F.min("id").alias("id")), "simhash-kinds")
-    same = each.join(first.withColumnRenamed("id", "b"), ["kind", "fp"]).select(F.col("id").alias("a"), "b")
-    if blocks is None:
-        blocks = blocks_for(distinct.count(), max_bits)
-    roots = components(near_links(first, max_bits, blocks).unionByName(same))
-    groups = distinct.join(roots, distinct["id"] == roots["node"], "left").select(
-        F.col("fps").alias("_fps"), F.coalesce("root", "id").alias("_root")
-    )
-    return marked.join(groups, F.col("fps") == F.col("_fps"), "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("_root")).alias("component_id")
-    )
-
-
-# --- exact check of near copies -------------------------------------------------
-
-
-def word_sketch(text: str | None, words: int, bands: int, depth: int) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """Digest of the words in order, `bands` keys of `depth` minima each, and the set of `words`-word shingles.
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row of `docs` (with `doc_id`, `text`) of each component of `near_duplicates`, columns as they are.
 
-    The keys and the set are empty for a text without words.
+    The row with the smallest id stays, null ids last; of rows that share it, repeated ones included, the
+    first in order of the table. Rows are told apart by a number of their own, which is written with them,
+    so neither repeated rows nor rows without an id gather in one place. Null and empty texts are one
+    component; extra columns of any name are kept; an empty table gives an empty one; texts of any
+    length are read whole, in steps.
     """
-    digest = xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
-    lows, parts = np.full(bands * depth, U64(2**64 - 1)), [np.zeros(0, U64)]
-    for hashes in shingle_hashes(text, words):
-        parts.append(np.unique(hashes))
-        for i in range(len(lows)):
-            lows[i] = min(lows[i], remixed(parts[-1], i + 1).min())
-    grams = np.unique(np.concatenate(parts))
-    keys = np.zeros(bands, U64)
-    for row in lows.reshape(bands, depth).T:
-        keys = remixed(keys ^ row, 1)
-    return digest, keys if len(grams) else keys[:0], grams
-
-
-def sketched(rows: DataFrame, words: int, bands: int, depth: int) -> DataFrame:
-    """`(id, group, digest, bands, grams)` of `rows (id, group, text)`."""
-
-    def lists(values: list[np.ndarray]) -> pa.Array:
-        offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
-        flat = np.concatenate([np.zeros(0, U64), *values]).view(np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                made = [word_sketch(t.as_py(), words, bands, depth) for t in part.column(2)]
-                digests = pa.array([x[0] for x in made], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), digests, lists([x[1] for x in made]), lists([x[2] for x in made])],
-                    ["id", "group", "digest", "bands", "grams"],
-                )
-
-    return rows.select("id", "group", "text").mapInArrow(
-        run, "id long, group long, digest binary, bands array<long>, grams array<long>"
-    )
 
-
-def similar_only(pairs: DataFrame, sets: DataFrame, similarity: float, per_task: int = 256) -> DataFrame:
-    """Those of `pairs (a, b)` whose sets in `sets (id, grams)` have a Jaccard of `similarity` or more.
-
-    A repeated row of `sets` repeats links. Many `a` may name one `b`: its set is dealt out once for
-    every `per_task` of them, by salt.
-    """
-    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
-    salted = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"))
-    right = copies.join(sets, F.col("b") == F.col("id")).select(
-        "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("grams").alias("grams_b")
-    )
-    both = (
-        salted.join(sets, F.col("a") == F.col("id"))
-        .select("a", "b", "salt", "grams")
-        .join(right, ["b", "salt"])
-        .where(
-            F.least(F.size("grams"), F.size("grams_b")) >= similarity * F.greatest(F.size("grams"), F.size("grams_b"))
+    def keep(rows: DataFrame) -> DataFrame:
+        rows = stored(rows.withColumn("row_number", F.monotonically_increasing_id()), "numbered")
+        groups = near_duplicates(rows, id_col="row_number", **options).select(
+            F.col("doc_id").alias("row_number"), F.col("component_id").alias("component")
         )
-    )
-    shared = F.size(F.array_intersect("grams", "grams_b"))
-    return both.where(
-        shared >= similarity * (F.size("grams") + F.size("grams_b") - shared)
-    ).select("a", "b")
-
-
-def alike(grams: pa.ListArray, labels: np.ndarray, sides: np.ndarray | None, similarity: float):
-    """Pairs of places in `grams` of the similarity or more that join what all such pairs join.
-
-    `labels` (from 0) are parts already joined; with `sides` only pairs across the sides are tested. The
-    sets are taken in order of size, so those that may be alike are one run after each.
-    """
-    offsets = grams.offsets.to_numpy().astype(np.int64)
-    sizes = np.diff(offsets)
-    order = np.argsort(sizes, kind="stable")
-    sizes, labels = sizes[order], labels[order].copy()
-    sides = None if sides is None else sides[order]
-    starts = np.r_[0, np.cumsum(sizes)]
-    within = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
-    values = grams.values.to_numpy()[np.repeat(offsets[:-1][order], sizes) + within]
-    distinct, values = np.unique(values, return_inverse=True)
-    marks = np.zeros(len(distinct), bool)
-    a, b = [], []
-    for i in range(len(sizes)):
-        end = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-9, "right"))
-        wanted = labels[i + 1 : end] != labels[i]
-        if sides is not None:
-            wanted &= sides[i + 1 : end] != sides[i]
-        if not sizes[i] or not wanted.any():
-            continue
-        own = values[starts[i] : starts[i + 1]]
-        marks[own] = True
-        run = marks[values[starts[i + 1] : starts[end]]]
-        shared = np.add.reduceat(run, starts[i + 1 : end] - starts[i + 1], dtype=np.int64)
-        marks[own] = False
-        wanted &= shared >= similarity * (sizes[i] + sizes[i + 1 : end] - shared)
-        for j in (np.flatnonzero(wanted) + i + 1).tolist():
-            if labels[j] != labels[i]:
-                labels[labels == labels[j]] = labels[i]
-                a.append(order[i])
-                b.append(order[j])
-    return np.array(a, np.int64), np.array(b, np.int64)
-
-
-def links_inside(
-    opened: DataFrame, sets: DataFrame, similarity: float, block_rows: int, block_grams: int
-) -> DataFrame:
-    """Links `(a, b)` that join what all pairs of one key in `opened (key, id, root)` join, whose roots differ.
-
-    A key's nodes are dealt into blocks of about `block_rows` nodes and `block_grams` shingles, and each
-    pair of blocks is one group, so no key has to fit in a task.
-    """
-    sized = opened.join(sets.select("id", F.size("grams").alias("n_grams")), "id")
-    blocks = sized.groupBy("key").agg(
-        F.ceil(F.greatest(F.count("*") / block_rows, F.sum("n_grams") / block_grams)).cast("int").alias("blocks")
-    )
-    block = F.pmod(F.xxhash64("id", "key"), "blocks").cast("int")
-    dealt = (
-        opened.join(blocks, "key")
-        .withColumn("block", block)
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("id", "root", "block", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    )
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        ids, roots = (table.column(c).to_numpy() for c in ("id", "root"))
-        sides = table.column("block").to_numpy() if table.column("lo")[0].as_py() != table.column("hi")[0].as_py() else None
-        grams = table.column("grams")
-        grams = grams.chunk(0) if isinstance(grams, pa.ChunkedArray) else grams
-        a, b = alike(grams, np.unique(roots, return_inverse=True)[1], sides, similarity)
-        return pa.table({"a": ids[a], "b": ids[b]})
-
-    return (
-        dealt.join(sets, "id").groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long")
-    )
-
-
-def verified_links(
-    nodes: DataFrame, sets: DataFrame, similarity: float, block_rows: int = 2048, block_grams: int = 2_000_000
-) -> DataFrame:
-    """Links `(a, b)` between `nodes (id, keys array<long>)` whose connected parts are exactly those of
-    all pairs of the similarity or more with a common key.
-
-    First each key's nodes are compared with the key's leader, the node that shares the most keys with
-    others, so a group of m whose leader is its centre costs m checks a key and not the square. A key
-    of two nodes is settled by that, and so is one whose nodes are all joined. In every other key all
-    pairs of nodes that are not joined yet are compared, see `links_inside`.
-    """
-    keyed = stored(nodes.select("id", F.explode("keys").alias("key")).distinct(), "simhash-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    offered = stored(keyed.join(sizes, "key"), "simhash-offers")
-    ranked = offered.join(offered.groupBy("id").agg(F.sum("n").alias("score")), "id")
-    leaders = (
-        ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
-        .select("key", (-F.col("best.minus")).alias("b"))
-    )
-    pairs = stored(
-        offered.join(leaders, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct(),
-        "simhash-pairs",
-    )
-    links = stored(similar_only(pairs, sets, similarity), "simhash-similar")
-    larger = offered.where("n > 2")
-    roots = components(links)
-    placed = stored(
-        larger.join(roots, larger["id"] == roots["node"], "left").select("key", "id", F.coalesce("root", "id").alias("root")),
-        "simhash-placed",
-    )
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    opened = stored(placed.join(several, "key", "left_semi"), "simhash-open")
-    inside = links_inside(opened, sets, similarity, block_rows, block_grams)
-    return links.unionByName(stored(inside, "simhash-inside"))
-
-
-def similar_copies(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = 5,
-    similarity: float = 0.8,
-    bands: int = 16,
-    depth: int = 3,
-) -> DataFrame:
-    """`(doc_id, component_id)` per row, linked where the texts' sets of `words`-word shingles have a
-    Jaccard similarity of `similarity` or more.
-
-    Candidates are texts that share one of `bands` keys of `depth` minima over the set of distinct
-    shingles (at 0.8 all sixteen keys of three differ in 1 of 100,000 pairs). A minimum agrees with a
-    probability of the similarity itself, so an appended or cut passage, scattered edits and repeated
-    lines of one similarity are found alike. SimHash cannot choose these candidates: at 0.8 the angle
-    of two sets is about 27 degrees, 9 to 10 of 64 bits, beyond what an index at 4 bits finds.
-    Candidates are checked exactly, see `verified_links`. Texts of the same words (white space and the
-    case of A-Z aside) are one node, so copies are always joined; texts without words, null ones too,
-    are copies of each other. Nulls in the id, ties, repeated rows, empty tables and other columns: as
-    in `near_duplicates`. A repeated id with different texts is one node.
-    """
-    rows = two_columns(docs, id_col, text_col)
-    known = rows.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("id"), F.lit(0).cast("long").alias("group"), "text"
-    )
-    # The shingle sets of all texts are larger than the texts; only those of candidates are kept.
-    marked = stored(
-        sketched(known, words, bands, depth).select("id", "digest", "bands"), "simhash-sketches"
-    )
-    nodes = stored(marked.groupBy("digest", "bands").agg(F.min("id").alias("id")), "simhash-nodes")
-    keys = F.transform("bands", lambda band, at: F.xxhash64(at, band))
-    keyed = stored(nodes.select("id", F.explode(keys).alias("key")).distinct(), "simhash-keys")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    candidates = stored(
-        keyed.join(shared, "key", "left_semi").groupBy("id").agg(F.collect_list("key").alias("keys")),
-        "simhash-candidates",
-    )
-    own = nodes.join(candidates, "id", "left_semi").select("id", "digest")
-    sets = stored(
-        sketched(known.join(own, "id", "left_semi"), words, bands, depth)
-        .join(own, ["id", "digest"], "left_semi")
-        .select("id", "grams"),
-        "simhash-sets",
-    )
-    roots = components(verified_links(candidates, sets, similarity))
-    ends = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
-        "digest", F.coalesce("root", "id").alias("root")
-    )
-    settled = marked.select("id", "digest").join(ends, "digest").groupBy("id").agg(F.min("root").alias("_root"))
-    return rows.select("doc_id").join(settled, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", F.coalesce("_root", F.col("doc_id").cast("long")).alias("component_id")
-    )
-
-
-def smallest_only(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of `docs` (with `doc_id`) that are the smallest id of their component in `groups`.
-
-    Rows without an id are kept, as nothing can be said of them. Columns stay as they are.
-    """
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The smallest id of each component of `near_duplicates`."""
-    return smallest_only(docs, near_duplicates(docs, **options))
-
-
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """The smallest id of each component of `near_copies`."""
-    return smallest_only(docs, near_copies(docs, **options))
-
+        place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_number").alias("row_number"))
+        first = groups.join(rows.select("row_number", "doc_id"), "row_number").groupBy("component").agg(
+            F.min(place)["row_number"].alias("row_number")
+        )
+        return rows.join(first.select("row_number"), "row_number", "left_semi").drop("row_number")
 
-def drop_similar_copies(docs: DataFrame, **options) -> DataFrame:
-    """The smallest id of each component of `similar_copies`."""
-    return smallest_only(docs, similar_copies(docs, **options))
+    return sheltered(docs, ("doc_id", "text"), keep)
