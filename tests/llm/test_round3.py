@@ -125,6 +125,18 @@ def test_index_intervals_count_every_ngram():
                 assert all(np.roll(ids, -starts[row])[: len(g)].tolist() == g for row in range(lo, lo + c))
 
 
+def test_filters_hold_what_they_were_made_of(spark):
+    rng = np.random.default_rng(9)
+    rows = rng.integers(-(2**63), 2**63 - 1, (30_000, 2))
+    table = spark.createDataFrame([tuple(map(int, r)) for r in rows], "w1 long, w2 long").repartition(3)
+    made = phrases.filter_of(table, ["w1", "w2"])
+    assert made.holds(rows).all() and len(made.cells) == 8192
+    assert made.holds(rng.integers(-(2**63), 2**63 - 1, (30_000, 2))).mean() < 0.02
+    full = phrases.filter_of(table, ["w1", "w2"], most_bits=1 << 10)
+    assert full.holds(rows).all() and len(full.cells) == 16
+    assert not phrases.filter_of(table.limit(0), ["w1", "w2"]).holds(rows).any()
+
+
 def test_score_is_exact_beyond_64_bits(spark):
     a, l, r = 9_000_000_000_000_000_001, 9_000_000_000_000_000_010, 9_100_000_000_000_000_000
     row = spark.createDataFrame([(a, l, r)], "a long, l long, r long")
@@ -308,3 +320,30 @@ def test_other_tokenizers_are_refused(tmp_path):
 def test_empty_documents_table(spark):
     schema = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
     assert bpe.encode_and_decode(table(spark, [], schema), tokenizer_path()).collect() == []
+
+
+# --- pipeline stages ---------------------------------------------------------------
+
+
+def test_stages_take_columns_of_any_name(spark):
+    """Names that stages use inside, and an empty table."""
+    import corpus_pipeline
+
+    names = [
+        "_w", "_v", "_h", "_o", "_p", "_l", "_base", "_spans", "_stats", "_copies", "_copy", "_id", "label", "row_number",
+        "component", "size", "nth", "other column 3", "kept", "base_failed",
+    ]
+    words = " ".join(f"word{i % 60}" for i in range(80))
+    rows = [(i, f"{words} {i} password: hunter{i}abc", "en", "a" if i % 3 else None, 9) for i in range(12)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit("x") for c in names})
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            work = {
+                "quality_rules": lambda d: corpus_pipeline.rules.keep_good(d, labels),
+            }.get(name, lambda d, stage=stage: stage(spark, d, ""))
+            out = work(table)
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+            assert all(r[c] == "x" for r in out.collect() for c in names), name
+            assert bool(out.count()) == bool(table.count()), name

@@ -284,29 +284,46 @@ class Filter:
         return ((self.cells[at >> U64(6)] >> (at & U64(63))) & U64(1)).all(axis=0)
 
 
+PAGE = 4096  # cells of 64 bits that travel together
+
+
 def filter_of(grams: DataFrame, names: list[str], most_bits: int = FILTER_BITS) -> Filter:
     """A filter of all rows of a stored table: 16 bits a row, up to `most_bits`.
 
-    Tasks set bits and Spark joins them; at most `most_bits` / 64 numbers reach the driver.
+    Tasks set bits in pages and Spark joins the pages; at most `most_bits` reach the driver.
     """
     n, probes = grams.count(), 4
     bits = 64
     while bits < min(most_bits, 16 * n):
         bits *= 2
+    page = min(PAGE, bits // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}
         for b in batches:
             rows = np.stack([c.to_numpy() for c in b.columns], axis=1)
             at = np.sort(Filter.positions(rows, bits, probes).reshape(-1))
             cell = (at >> U64(6)).astype(np.int64)
             starts = np.flatnonzero(np.diff(cell, prepend=-1))
-            set_ = np.bitwise_or.reduceat(U64(1) << (at & U64(63)), starts) if len(at) else at
-            yield pa.RecordBatch.from_arrays([pa.array(cell[starts]), pa.array(set_.view(np.int64))], ["cell", "bits"])
-
-    cells = grams.select(*names).mapInArrow(run, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
-    found = cells.toArrow()
+            if not len(starts):
+                continue
+            set_, cell = np.bitwise_or.reduceat(U64(1) << (at & U64(63)), starts), cell[starts]
+            for lo in np.flatnonzero(np.diff(cell // page, prepend=-1)):
+                number = int(cell[lo] // page)
+                here = slice(lo, np.searchsorted(cell, (number + 1) * page))
+                pages.setdefault(number, np.zeros(page, U64))[cell[here] % page] |= set_[here]
+        for number, held in pages.items():
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([held.tobytes()], pa.binary())], ["page", "bits"])
+
+    def joined(some: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x.as_py(), U64) for x in some.column("bits")]
+        return pa.table({"page": some.column("page")[:1], "bits": pa.array([np.bitwise_or.reduce(held).tobytes()], pa.binary())})
+
+    pages = grams.select(*names).mapInArrow(run, "page long, bits binary")
+    found = pages.groupBy("page").applyInArrow(joined, "page long, bits binary").toArrow()
     out = np.zeros(bits // 64, U64)
-    out[found.column("cell").to_numpy()] = found.column("bits").to_numpy().view(U64)
+    for number, held in zip(found.column("page").to_pylist(), found.column("bits").to_pylist()):
+        out[number * page : (number + 1) * page] = np.frombuffer(held, U64)
     return Filter(out, probes)
 
 
@@ -382,7 +399,7 @@ def frequent_phrases(
     docs: DataFrame,
     longest: int = DEPTH,
     least: int = 30,
-    shard_words: int = 2_000_000,
+    shard_words: int = 1_000_000,
     lang_col: str = "lang",
     text_col: str = "text",
     filter_bits: int = FILTER_BITS,
@@ -449,7 +466,7 @@ def collocations(
     least: int = 30,
     top: int = 2000,
     share: int = 80,
-    shard_words: int = 2_000_000,
+    shard_words: int = 1_000_000,
     lang_col: str = "lang",
     text_col: str = "text",
     **options,
