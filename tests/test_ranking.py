@@ -168,17 +168,17 @@ def test_texts_stay_in_place_in_splits_and_samples(spark, sf):
     assert "text" in exchanged(moved)  # the test sees what it looks for
 
 
-@pytest.mark.parametrize("small, most_bytes", [(3, 1 << 25), (3, 0), (20_000, 0)])
-def test_radix_steps_and_many_cutoffs_choose_the_same_rows(spark, small, most_bytes):
+@pytest.mark.parametrize("bounds", [rk.Bounds(3), rk.Bounds(3, 0, 0), rk.Bounds(3, 2, 1 << 25), rk.Bounds(20_000, 0, 0)])
+def test_radix_steps_and_many_cutoffs_choose_the_same_rows(spark, bounds):
     """Buckets refined down to three rows, cut-offs too many to send: the same result."""
     key = F.when(F.col("id") < 5000, -7).when(F.col("id") % 11 == 0, None).otherwise(F.col("id"))
     label = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5)
     df = spark.range(15_000).select(key.alias("row_id"), label.alias("sentimen"))
     quota = lambda n, _t, _g: F.ceil(n / 3).cast("long")
     plain = rk.hash_lowest(df, "row_id", quota, by="sentimen")
-    other = rk.hash_lowest(df, "row_id", quota, by="sentimen", small=small, most_bytes=most_bytes)
+    other = rk.hash_lowest(df, "row_id", quota, by="sentimen", bounds=bounds)
     tiles = rk.hash_tiles(df, "row_id", 3, by="sentimen")
-    other_tiles = rk.hash_tiles(df, "row_id", 3, by="sentimen", small=small, most_bytes=most_bytes)
+    other_tiles = rk.hash_tiles(df, "row_id", 3, by="sentimen", bounds=bounds)
     for a, b in ((plain, other), (tiles, other_tiles)):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 

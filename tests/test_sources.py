@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,35 @@ def test_csv_numbering_over_splits_of_one_file(spark, tmp_path):
     assert got == {i: t for i, (t, _) in enumerate(rows)}
 
 
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_csv_records_with_inner_breaks_are_read_in_splits(spark, tmp_path, ends):
+    """Records longer than a split, records that end with one, blank lines, and files of one record."""
+    rng = random.Random(2)
+    want = []
+    for part in range(3):
+        rows = [(rng.choice(TRICKY) + f" {part} {i} " + ("long\n" * 900 if i % 40 == 7 else "x\n" * rng.randint(0, 9)), i % 2) for i in range(150)]
+        write_csv(tmp_path, f"part-{part}.csv", rows)
+        path = tmp_path / f"part-{part}.csv"
+        text = path.read_text().replace(",1\n", ",1\n\n") if part == 1 else path.read_text()
+        path.write_bytes(text.replace("\n", ends).encode())
+        want += rows
+    (tmp_path / "part-4.csv").write_text("review,sentimen\n")
+    (tmp_path / "part-5.csv").write_text('review,sentimen\nbare,\n"",1\nlast,0')
+    want += [("bare", None), (None, 1), ("last", 0)]  # Spark reads "" as null
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = src.read_reviews_csv(spark, str(tmp_path))
+        got = [(r["row_index"], r["review"], r["sentimen"]) for r in df.orderBy("row_index").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    by_file = src.read_reviews_csv(spark, str(tmp_path), by_file=True).orderBy("row_index").collect()
+    assert [r[0] for r in got] == list(range(len(want)))
+    assert [(t.replace("\r\n", "\n") if t else t, x) for _, t, x in got] == want
+    if ends == "\n":
+        assert got == [(r["row_index"], r["review"], r["sentimen"]) for r in by_file]
+
+
 def test_csv_needs_the_review_column(spark, tmp_path):
     (tmp_path / "a.csv").write_text("text,sentimen\nhello,1\n")
     with pytest.raises(ValueError):

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,18 +15,25 @@ from pyspark.sql import functions as F
 
 from ulasan.operators.ranking import beside
 from ulasan.operators.sampling import random_sample
+from ulasan.session import stored
+
+
+def fit_and_encode(df: DataFrame, dim: int = 768, col: str = "review_clean") -> tuple[PipelineModel, DataFrame]:
+    """Hashed TF-IDF of unit length, the default text encoder, and `df` encoded by it as `features`.
+
+    Texts are cut into tokens once: the counts are stored, and weights, training and index read those.
+    """
+    tokens = RegexTokenizer(inputCol=col, outputCol="tokens", pattern=" ", minTokenLength=1)
+    counts = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=dim)
+    counted = stored(counts.transform(tokens.transform(df)).drop("tokens"), "token-counts")
+    weights = IDF(inputCol="tf", outputCol="tfidf").fit(counted)
+    unit = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
+    model = PipelineModel(stages=[tokens, counts, weights, unit])
+    return model, unit.transform(weights.transform(counted)).drop("tf", "tfidf")
 
 
 def fit_text_encoder(df: DataFrame, dim: int = 768, col: str = "review_clean") -> PipelineModel:
-    """Hashed TF-IDF of unit length: the default text encoder."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=col, outputCol="tokens", pattern=" ", minTokenLength=1),
-            HashingTF(inputCol="tokens", outputCol="tf", numFeatures=dim),
-            IDF(inputCol="tf", outputCol="tfidf"),
-            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-        ]
-    ).fit(df)
+    return fit_and_encode(df.select(col), dim, col)[0]
 
 
 def encode(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -50,17 +58,20 @@ def encode_with(
 ) -> DataFrame:
     """Encode with a user's model: `load()` runs once per task and returns texts -> vectors."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    place, names = df.columns.index(col), [*df.columns, out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load()
-        for pdf in frames:
-            vecs = []
-            for at in range(0, len(pdf), batch_size):
-                part = model(pdf[col].iloc[at : at + batch_size].tolist())
-                vecs.extend([float(x) for x in v] for v in part)
-            yield pdf.assign(**{out: vecs})
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch_size):
+                b = whole.slice(at, batch_size)
+                vecs = np.asarray(model(b.column(place).to_pylist()), np.float32).reshape(b.num_rows, -1)
+                ends = (np.arange(b.num_rows + 1) * vecs.shape[1]).astype(np.int32)
+                made = pa.ListArray.from_arrays(pa.array(ends), pa.array(vecs.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*b.columns, made], names)
 
     schema = df.withColumn(out, F.lit(None).cast("array<float>")).schema
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def f_scores(df: DataFrame, features: str = "features", label: str = "sentimen") -> DataFrame:

@@ -75,6 +75,15 @@ def _accuracy(scored: DataFrame) -> float:
     return metrics.accuracy(scored, "sentimen", "prediction").head()[0] or 0.0
 
 
+CELLS_PER_TASK = 4_000_000
+
+
+def _gathered(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """`df` in no more tasks than its cells are worth: each step of a fit is a job over all of them."""
+    parts = max(1, -(-rows * width // CELLS_PER_TASK))
+    return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
+
+
 def cross_validate(train: DataFrame, params: TrainParams = DEFAULTS, key: str = "row_id") -> DataFrame:
     """Accuracy of every fold: `fold, n_test, accuracy`. Folds are fitted side by side.
 
@@ -120,13 +129,16 @@ def train(
         df.select(key, "sentimen", "features"), params.test_size, label, key, params.seed
     )
     data = stored(split, "training")
+    n_features = data.select(F.size(vector_to_array("features"))).head()
+    n_features = n_features[0] if n_features else 0
+    data = _gathered(data, data.count(), n_features)
     fit_rows, held = data.filter(~F.col("is_test")), data.filter("is_test")
     sizes = {r["is_test"]: r["count"] for r in data.groupBy("is_test").count().collect()}
     n_train, n_test = sizes.get(False, 0), sizes.get(True, 0)
     if n_train == 0:
         raise ValueError("no training rows")
 
-    scores, n_features = None, data.select(F.size(vector_to_array("features"))).head()[0]
+    scores = None
     if params.k_features:
         scores = ft.f_scores(data if params.leaky_selection else fit_rows)
         selected = ft.selected_indices(scores, min(params.k_features, n_features))
@@ -134,7 +146,19 @@ def train(
         selected = list(range(n_features))
     slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=selected)
     sliced = slicer.transform(fit_rows)
-    classifier = make_classifier(params, n_train).fit(sliced)
+
+    @inheritable_thread_target(df.sparkSession)
+    def whole():
+        return make_classifier(params, n_train).fit(sliced)
+
+    @inheritable_thread_target(df.sparkSession)
+    def by_folds():
+        return [tuple(r) for r in cross_validate(sliced, params, key).orderBy("fold").collect()] if with_cv else []
+
+    # The folds' models don't depend on the whole one: all are fitted side by side.
+    with ThreadPool(2) as pool:
+        fitted, folded = pool.apply_async(whole), pool.apply_async(by_folds)
+        classifier, fold_rows = fitted.get(), folded.get()
     model = PipelineModel(stages=[slicer, classifier])
 
     history = {
@@ -147,8 +171,8 @@ def train(
         "n_selected": len(selected),
     }
     if with_cv:
-        by_fold = cross_validate(sliced, params, key).orderBy("fold")
-        history["cv_scores"] = [r["accuracy"] for r in by_fold.collect()]
+        by_fold = df.sparkSession.createDataFrame(fold_rows, "fold int, n_test long, accuracy double")
+        history["cv_scores"] = [r[2] for r in fold_rows]
         row = cv_summary(by_fold).head()
         history["val_accuracy"], history["val_std"] = row["val_accuracy"], row["val_std"]
     return TrainedClassifier(model, params, history, scores, selected, held)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ulasan.functions import text as tx
-from ulasan.operators.ranking import mapped
+from ulasan.operators.ranking import settled
 from ulasan.session import stored
 from ulasan.settings import REQUIRED_COLUMNS, CleanRules
 
@@ -60,19 +60,24 @@ def dedup_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     if row_id is None:
         return df.distinct()
     cols = [c for c in df.columns if c != row_id]
-    if not cols or df.where(F.col(row_id).isNull()).limit(1).count():
-        return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(*df.columns)
     keyed = stored(df.select(row_digest(df, cols).alias("_digest"), F.col(row_id).alias("_id")), "digests")
-    first = keyed.groupBy("_digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
-    copied = stored(first.where("_n > 1").drop("_n"), "copied")
-    few = mapped(copied)
-    copies = keyed.join(copied if few is None else few, "_digest")
-    if not copies.where(F.col("_id") == F.col("_first")).groupBy("_digest").count().where("count > 1").isEmpty():
-        # Ids that are given twice don't tell copies apart.
+    # Copies of a digest and id are counted first, so a hot text is a few rows of a task.
+    ids = keyed.groupBy("_digest", "_id").agg(F.count("*").alias("_n"))
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_n")))
+    copied = ids.groupBy("_digest").agg(first.alias("_first"), F.sum("_n").alias("_n"), F.count_if(F.col("_id").isNull()).alias("_none"))
+    copied = copied.where("_n > 1").select(
+        "_digest", F.col("_first._id").alias("_first"), ((F.col("_first._n") > 1) | (F.col("_none") > 0)).alias("_twice")
+    )
+    copied, _, rows = settled(copied, "copied")
+    twice = any(r["_twice"] for r in rows) if rows is not None else not copied.where("_twice").isEmpty()
+    if twice:
+        # Ids that are missing or given twice don't tell copies apart.
         return df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(*df.columns)
-    gone = stored(copies.where(F.col("_id") > F.col("_first")).select(F.col("_id").alias("_gone")), "gone")
-    few = mapped(gone)
-    return df.join(gone if few is None else few, F.col(row_id) == F.col("_gone"), "left_anti")
+    if rows is not None and not rows:
+        return df
+    gone = keyed.join(copied, "_digest").where(F.col("_id") > F.col("_first")).select(F.col("_id").alias("_gone"))
+    gone, _, _ = settled(gone, "gone")
+    return df.join(gone, F.col(row_id) == F.col("_gone"), "left_anti")
 
 
 def drop_null_reviews(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ulasan.functions import text as tx
 from ulasan.functions.vector import l2_norm, row_mean, row_std
-from ulasan.operators.ranking import beside, exact_quantiles, mapped
+from ulasan.operators.ranking import beside, exact_quantiles, settled
 from ulasan.session import stored
 
 
@@ -197,9 +197,8 @@ def describe_text(df: DataFrame, col: str) -> DataFrame:
     total, unique, most = counts.agg(F.sum("n"), F.count("*"), F.max("n")).first()
     tied = texts
     if most is not None and most > 1:
-        best = stored(counts.where(F.col("n") == most).select("_d"), "tied")
-        few = mapped(best)
-        tied = texts.withColumn("_d", digest).join(best if few is None else few, "_d", "left_semi")
+        best, _, _ = settled(counts.where(F.col("n") == most).select("_d"), "tied")
+        tied = texts.withColumn("_d", digest).join(best, "_d", "left_semi")
     return tied.agg(F.min("_v").alias("top")).select(
         F.lit(col).alias("column_name"),
         F.lit(total or 0).cast("long").alias("count"),

@@ -11,14 +11,21 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ulasan.session import stored
 
 DIGITS = 3  # hexadecimal digits of the hash that one step of the selection looks at: 4,096 buckets
-SMALL = 20_000  # rows that one task may sort
-MAP_BYTES = 32 << 20  # a table of cut-offs up to this size is sent to every task
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Rows that one task may sort, and rows or bytes of a table that may be sent to every task."""
+
+    sorted_rows: int = 20_000
+    sent_rows: int = 10_000
+    sent_bytes: int = 32 << 20
 
 
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -33,11 +40,20 @@ def hash_order(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def mapped(table: DataFrame, most_bytes: int = MAP_BYTES) -> DataFrame | None:
-    """A stored table to be sent to every task, if its counted size allows that; else None."""
-    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 16 for c in table.columns), F.lit(0))
-    size = table.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-    return F.broadcast(table) if size <= most_bytes else None
+def settled(table: DataFrame, name: str, bounds: Bounds = Bounds()) -> tuple[DataFrame, bool, list[Row] | None]:
+    """A table that is worked out once, whether it is small enough to be sent to every task (and then
+    marked for that), and its rows if there are few.
+
+    Up to `sent_rows` rows are fetched and go with the plan. A longer table is written, and sent if its
+    counted size is at most `sent_bytes`.
+    """
+    rows = table.limit(bounds.sent_rows + 1).collect() if bounds.sent_rows else []
+    if bounds.sent_rows >= len(rows) > 0 or bounds.sent_rows and not rows:
+        return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema)), True, rows
+    lying = stored(table, name)
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 16 for c in lying.columns), F.lit(0))
+    size = lying.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return (F.broadcast(lying), True, None) if size <= bounds.sent_bytes else (lying, False, None)
 
 
 def hash_cutoffs(
@@ -46,15 +62,15 @@ def hash_cutoffs(
     ranks: Callable[[Column, Column, Column], Column],
     by: str | None = None,
     seed: int = 42,
-    small: int = SMALL,
-    most_bytes: int = MAP_BYTES,
-) -> DataFrame:
-    """The key standing at given ranks of the hash order, for each group, as a stored table.
+    bounds: Bounds = Bounds(),
+) -> tuple[DataFrame, bool]:
+    """The key standing at given ranks of the hash order, for each group, and whether that table is
+    small enough to be sent to every task.
 
     `ranks(group_n, total_n, n_groups)` returns the array of 1-based ranks wanted. The result is
     one short row per group and rank: `grp, rank, cut_hash, cut_key`. This is a radix selection: rows
     are counted per group and by the first digits of their hash, and only the bucket that holds a wanted
-    rank is counted by its next digits, until no such bucket has more than `small` rows of different
+    rank is counted by its next digits, until no such bucket has more than `sorted_rows` rows of different
     hashes. The buckets left are sorted. Each step reads keys and groups alone and shuffles counts.
     `key` should be unique; rows that share a key stay on one side of a cut-off.
     """
@@ -81,63 +97,61 @@ def hash_cutoffs(
     groups = counts.groupBy("grp").agg(F.sum("n").alias("n"))
     counts = beside(counts, groups.agg(F.sum("n").alias("total_n"), F.count("grp").cast("int").alias("n_groups")))
 
-    def holding(candidates: DataFrame, rank: Column) -> DataFrame:
+    def holding(candidates: DataFrame, rank: Column):
         """The bucket that holds each wanted rank, and the rank within it."""
-        return stored(
-            candidates.filter((rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto"))).select(
-                F.col("grp").alias("w_grp"),
-                F.col("start").alias("w_start"),
-                F.col("rank").cast("long").alias("rank"),
-                (rank - F.col("upto") + F.col("n")).cast("long").alias("within"),
-                "n",
-                "mixed",
-            ),
-            "wanted",
+        found = candidates.filter((rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto"))).select(
+            F.col("grp").alias("w_grp"),
+            F.col("start").alias("w_start"),
+            F.col("rank").cast("long").alias("rank"),
+            (rank - F.col("upto") + F.col("n")).cast("long").alias("within"),
+            "n",
+            "mixed",
         )
+        wanted, _, rows = settled(found, "wanted", bounds)
+        if rows is not None:
+            return wanted, any(r["mixed"] and r["n"] > bounds.sorted_rows for r in rows)
+        return wanted, not wanted.filter(F.col("mixed") & (F.col("n") > bounds.sorted_rows)).isEmpty()
 
     def inside(wanted: DataFrame, digits: int) -> DataFrame:
-        """The rows of the wanted buckets; where there are few of these, the others are left in place."""
-        buckets = mapped(wanted, most_bytes)
-        buckets = wanted if buckets is None else buckets
+        """The rows of the wanted buckets; where these are few, the others are left in place."""
         same = F.col("grp").eqNullSafe(F.col("w_grp")) & (F.substring("cut_hash", 1, digits) == F.col("w_start"))
-        return keyed.join(buckets, same)
+        return keyed.join(wanted, same)
 
-    wanted = holding(
+    wanted, large = holding(
         counts.withColumn("rank", F.explode(ranks(F.col("group_n"), F.col("total_n"), F.col("n_groups")))), F.col("rank")
     )
     digits = DIGITS
-    while digits < 32 and not wanted.filter(F.col("mixed") & (F.col("n") > small)).isEmpty():
-        buckets = wanted.select("w_grp", "w_start").distinct()
+    while digits < 32 and large:
+        buckets, _, _ = settled(wanted.select("w_grp", "w_start").distinct(), "buckets", bounds)
         further = F.substring("cut_hash", 1, digits + DIGITS)
-        counts = inside(stored(buckets, "buckets"), digits).groupBy("grp", "w_start", further.alias("start")).agg(*counted)
+        counts = inside(buckets, digits).groupBy("grp", "w_start", further.alias("start")).agg(*counted)
         upto = F.sum("n").over(Window.partitionBy("grp", "w_start").orderBy("start"))
         ranks_here = wanted.select("w_grp", F.col("w_start").alias("was"), "rank", "within")
         same = F.col("grp").eqNullSafe(F.col("w_grp")) & (F.col("w_start") == F.col("was"))
         counts = counts.withColumn("upto", upto).join(ranks_here, same)
         digits += DIGITS
-        wanted = holding(counts, F.col("within"))
+        wanted, large = holding(counts, F.col("within"))
     # Rows of one key are merged before they are sorted, so a hot key is one short row.
     keys = inside(wanted.drop("n", "mixed"), digits).groupBy(
         "grp", "w_start", "rank", "within", "cut_hash", "cut_key"
     ).agg(F.count("*").alias("n"))
     order = Window.partitionBy("grp", "w_start", "rank").orderBy("cut_hash", "cut_key")
-    return stored(
+    cuts = (
         keys.withColumn("upto", F.sum("n").over(order))
         .filter((F.col("upto") >= F.col("within")) & (F.col("upto") - F.col("n") < F.col("within")))
-        .select("grp", "rank", "cut_hash", "cut_key"),
-        "cutoffs",
+        .select("grp", "rank", "cut_hash", "cut_key")
     )
+    return settled(cuts, "cutoffs", bounds)[:2]
 
 
-def beside_cutoffs(df: DataFrame, cuts: DataFrame, group: Column, key: str, most_bytes: int, salts: int = 32) -> DataFrame:
+def beside_cutoffs(df: DataFrame, cuts: DataFrame, small: bool, group: Column, key: str, salts: int = 32) -> DataFrame:
     """Every row of `df` with the row of `cuts` of its group (column `_grp`), if there is one.
 
-    Up to `most_bytes` the cut-offs are sent to the tasks that hold the rows, and no row is moved. More
-    groups than that meet their rows in a shuffle, where each group is spread over `salts` keys.
+    Small cut-offs are sent to the tasks that hold the rows, and no row is moved. More groups than that
+    meet their rows in a shuffle, where each group is spread over `salts` keys.
     """
-    small = mapped(cuts, most_bytes)
-    if small is not None:
-        return df.join(small, group.eqNullSafe(F.col("_grp")), "left")
+    if small:
+        return df.join(F.broadcast(cuts), group.eqNullSafe(F.col("_grp")), "left")
     salted = cuts.withColumn("_cut_salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))))
     salt = F.pmod(F.xxhash64(F.col(key)), F.lit(salts)).cast("int")
     return df.join(salted, group.eqNullSafe(F.col("_grp")) & (salt == F.col("_cut_salt")), "left")
@@ -157,19 +171,18 @@ def hash_lowest(
     by: str | None = None,
     seed: int = 42,
     flag: str = "taken",
-    small: int = SMALL,
-    most_bytes: int = MAP_BYTES,
+    bounds: Bounds = Bounds(),
 ) -> DataFrame:
     """Flag the `quota` lowest keys of each group in hash order.
 
-    Rows stay where they are while the cut-offs, one short row per group, take up at most
-    `most_bytes`; their size is counted first (see `beside_cutoffs`).
+    Rows stay where they are while the cut-offs, one short row per group, are small; their size is
+    counted first (see `settled` and `beside_cutoffs`).
     """
-    cuts = hash_cutoffs(df, key, lambda n, total, g: F.array(quota(n, total, g)), by, seed, small, most_bytes)
+    cuts, small = hash_cutoffs(df, key, lambda n, total, g: F.array(quota(n, total, g)), by, seed, bounds)
     cuts = cuts.select(F.col("grp").alias("_grp"), "cut_hash", "cut_key")
     group = F.col(by).cast("string") if by else F.lit("all")
     taken = F.coalesce(_not_after(key, seed), F.lit(False))
-    return beside_cutoffs(df, cuts, group, key, most_bytes).select(*df.columns, taken.alias(flag))
+    return beside_cutoffs(df, cuts, small, group, key).select(*df.columns, taken.alias(flag))
 
 
 def hash_tiles(
@@ -179,8 +192,7 @@ def hash_tiles(
     by: str | None = None,
     seed: int = 42,
     tile: str = "fold",
-    small: int = SMALL,
-    most_bytes: int = MAP_BYTES,
+    bounds: Bounds = Bounds(),
 ) -> DataFrame:
     """Split each group into `k` runs of the hash order, sizes differing by at most one."""
 
@@ -190,7 +202,7 @@ def hash_tiles(
             lambda i: F.floor((i * n + F.lit(k - 1)) / F.lit(k)).cast("long"),
         )
 
-    cuts = hash_cutoffs(df, key, ends, by, seed, small, most_bytes)
+    cuts, small = hash_cutoffs(df, key, ends, by, seed, bounds)
     cuts = cuts.groupBy(F.col("grp").alias("_grp")).agg(
         F.collect_list(F.struct("cut_hash", "cut_key")).alias("_cuts")
     )
@@ -200,7 +212,7 @@ def hash_tiles(
         F.col("_cuts"),
         lambda c: (c["cut_hash"] < h) | ((c["cut_hash"] == h) & (c["cut_key"] < F.col(key))),
     )
-    return beside_cutoffs(df, cuts, group, key, most_bytes).select(
+    return beside_cutoffs(df, cuts, small, group, key).select(
         *df.columns, F.coalesce(F.size(before), F.lit(0)).cast("int").alias(tile)
     )
 
@@ -296,7 +308,7 @@ def exact_quantiles(
     probs: dict[str, float],
     counts: dict[str, int],
     sketches: dict[str, dict[float, float]] | None = None,
-    small: int = SMALL,
+    small: int = Bounds.sorted_rows,
     accuracy: int = ACCURACY,
 ) -> dict[str, dict[str, float | None]]:
     """Linear-interpolated quantiles of the double columns of `df` that `counts` names, with the number

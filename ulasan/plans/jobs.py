@@ -57,8 +57,7 @@ def train_job(
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError("no rows left after preparation")
-    encoder = ft.fit_text_encoder(rows, params.dim)
-    encoded = ft.encode(encoder, rows)
+    encoder, encoded = ft.fit_and_encode(rows, params.dim)
     classifier = models.train(encoded, params, with_cv=with_cv)
     index = None
     if not skip_index:

@@ -269,6 +269,27 @@ def m13(spark, sf):
     return md.feature_importance(trained(spark, sf).classifier)
 
 
+# Of each class the lowest fifth of the hash order is held out.
+FITTED_ON = (
+    "WITH fitted AS (SELECT vec_id, label, embedding FROM (SELECT *, row_number() OVER (PARTITION BY label >= 5 ORDER BY "
+    "md5(CAST(vec_id AS VARCHAR) || ':42'), vec_id) AS nth, count(*) OVER (PARTITION BY label >= 5) AS n FROM embeddings) "
+    "WHERE nth > ceil(0.2 * n)), "
+)
+
+
+@query(
+    "m13_importance_is_weighted_f",
+    FITTED_ON
+    + SCORES.removeprefix("WITH ").replace("FROM embeddings", "FROM fitted")
+    + f"SELECT feature, {s.r6('f_score')} AS f_score FROM r WHERE rn <= 20",
+)
+def m13_weighted(spark, sf):
+    """The features chosen on the training rows, and their importance for each unit of coefficient: F."""
+    run = md.train(points(spark, sf), TrainParams(k_features=20), with_cv=False)
+    table = md.feature_importance(run, 20)
+    return rounded(table.select("feature", (F.col("importance") / F.abs("coefficient")).alias("f_score")))
+
+
 @query("m14_projection")
 def m14(spark, sf):
     return ft.project_2d(points(spark, sf))[0]
@@ -460,6 +481,17 @@ def v4(spark, sf):
     return hits.select("query_id", same.alias("found_itself"))
 
 
+@query(
+    "a19_run_info_sizes",
+    HELD_OUT
+    + "SELECT TRUE AS is_trained, (SELECT count(*) FROM k) AS dataset_size, 768 AS embedding_dim, 500 AS n_selected, "
+    "TRUE AS index_built, 'logistic_regression' AS model_type",
+)
+def a19_sizes(spark, sf):
+    info = jobs.run_info(spark, trained(spark, sf))
+    return info.select("is_trained", "dataset_size", "embedding_dim", "n_selected", "index_built", "model_type")
+
+
 @query("a19_run_info")
 def a19(spark, sf):
     return jobs.run_info(spark, trained(spark, sf))

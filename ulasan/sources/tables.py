@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ulasan.sources.csv_records import csv_records, parsed
+
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("review", T.StringType()),
@@ -13,7 +15,6 @@ REVIEW_SCHEMA = T.StructType(
         T.StructField("translate", T.StringType()),
     ]
 )
-MAX_BROADCAST_BLOCKS = 200_000
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -74,12 +75,14 @@ def read_reviews_csv(
     schema: T.StructType = REVIEW_SCHEMA,
     multi_line: bool = True,
     required: tuple[str, ...] = ("review",),
+    by_file: bool = False,
 ) -> DataFrame:
     """A headed CSV with a contiguous 0-based `row_index` in file order.
 
-    Rows are numbered inside each file block, and blocks are put in order by name and offset, so
-    only one short row per block meets in one task. Set `multi_line=False` for files without line
-    breaks inside quotes; they are then read in splits.
+    Files are read in splits. With `multi_line` (for files whose quotes are balanced, see `csv_records`)
+    quoted fields may hold line breaks. `by_file` reads each file in one task by Spark's own reader
+    instead, which also takes stray quotes. There rows are numbered inside each file block, and blocks
+    are put in order by name and offset, so only one short row per block meets in one task.
     """
     options = {"header": True, "multiLine": multi_line, "escape": '"'}
     present = spark.read.options(**options).csv(path).columns
@@ -90,6 +93,8 @@ def read_reviews_csv(
     read_schema = T.StructType(
         [T.StructField(c, known.get(c, T.StringType())) for c in present]
     )
+    if multi_line and not by_file:
+        return parsed(csv_records(spark, path), read_schema, {"escape": '"', "multiLine": True})
     rows = (
         spark.read.options(**options)
         .schema(read_schema)
@@ -111,10 +116,6 @@ def read_reviews_csv(
         "_first",
         (F.sum("_n").over(in_order) - F.col("_n")).alias("_offset"),
     )
-    # Blocks are at most one per file and one more per split.
-    n_blocks = len(rows.inputFiles()) + rows.rdd.getNumPartitions()
-    if n_blocks <= MAX_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return rows.join(offsets, ["_file", "_start"]).select(
         (F.col("_offset") + F.col("_pos") - F.col("_first")).alias("row_index"), *present
     )
