@@ -188,8 +188,8 @@ def fit(
     k: int = 15,
 ) -> NeighbourModel:
     """Fit on at most about `max_rows` labelled rows (`labels` is `(doc_id, toxic)`), held-out rows
-    excepted. Of two thirds of them at most `max_examples`, half of either label, become examples; the
-    other third calibrates the vote. The vocabulary is the `max_terms` terms with the largest chi-square against the
+    excepted. Of two thirds of them at most `max_examples`, half of either label and the first by a hash of
+    their id, become examples; the other third calibrates the vote. The vocabulary is the `max_terms` terms with the largest chi-square against the
     label. Document frequencies are counted over all of `docs`.
     """
     rows = stored(training_rows(docs, labels, "toxic", max_rows, "toxicity"), "toxic-rows")
@@ -229,7 +229,8 @@ def fit(
         run, "doc_id long, label int, t array<long>, w array<double>"
     )
     # At most max_rows vectors over max_terms terms.
-    found = vectors.withColumn("third", third).toPandas().sort_values(["doc_id", "label"])
+    place = F.xxhash64(F.lit("examples"), "doc_id")
+    found = vectors.withColumns({"third": third, "place": place}).toPandas().sort_values(["place", "doc_id", "label"])
     fitting = found[(found["third"] > 0) & (found["t"].str.len() > 0)]
     parts = [fitting[fitting["label"] == y].head(max_examples // 2) for y in (1, 0)]
     # Examples that share their weightiest term lie side by side, so that block bounds are tight.
