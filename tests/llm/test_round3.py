@@ -137,6 +137,64 @@ def test_filters_hold_what_they_were_made_of(spark):
     assert not phrases.filter_of(table.limit(0), ["w1", "w2"]).holds(rows).any()
 
 
+def test_tasks_add_up_the_counts_of_their_shards(spark):
+    """A phrase in every shard of a task is one row, not one for each shard."""
+    rows = [("en", "a b c d e f")] * 400 + [("de", "a b c")] * 200
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(1)
+    index, words = phrases.indexed(docs, 100, "lang", "text")
+    ids = {(r["lang"], r["word"]): r["w1"] for r in words.collect()}
+    want = {("en", k): 400 for k in ("abc", "bcd", "cde", "def")} | {("de", "abc"): 200}
+    want = {tuple(ids[lang, w] for w in k): a for (lang, k), a in want.items()}
+    filters = [phrases.filter_of(words, ["w1"])]
+    pairs = phrases.enumerated(index, 2, filters).groupBy("w1", "w2").agg(F.sum("a").alias("a"))
+    filters.append(phrases.filter_of(pairs, ["w1", "w2"]))
+    assert index.count() > 20 and index.rdd.getNumPartitions() == 1
+    got = phrases.enumerated(index, 3, filters).collect()
+    assert len(got) == 5 and {tuple(r[:3]): r["a"] for r in got} == want
+    # Where sums are given out early, there are more rows with the same sums.
+    early = phrases.enumerated(index, 3, filters, held_rows=2).collect()
+    sums = Counter()
+    for r in early:
+        sums[tuple(r[:3])] += r["a"]
+    assert len(early) > 5 and sums == want
+
+
+def test_an_index_in_small_splits_is_gathered(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = [("en", f"a b c d e {i % 7}") for i in range(40 * cores)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(8 * cores)
+    index = phrases.build(docs.select("lang", F.col("text").cast("binary")), 10, 1).cache()
+    count = index.count()
+    assert phrases.gathered(index, least=count).rdd.getNumPartitions() == 2 * cores
+    few = phrases.gathered(index, least=3)
+    assert few.rdd.getNumPartitions() == -(-count // 3) > 2 * cores and few.count() == count
+    assert phrases.gathered(index, least=1).rdd.getNumPartitions() == 8 * cores
+    every = phrases.Filter(np.full(1, 2**64 - 1, np.uint64))
+    made = phrases.enumerated(index, 4, [every] * 3)
+    tasks, sums = made.rdd.getNumPartitions(), made.groupBy("w1", "w2", "w3", "w4").agg(F.sum("a").alias("a"))
+    # Nine n-grams of four come once from each task, and not from each shard.
+    assert tasks < 8 * cores and made.count() <= 9 * tasks < 2 * count
+    assert sums.count() == 9 and sums.agg(F.sum("a")).first()[0] == 3 * len(rows)
+
+
+def test_counts_add_up_within_the_rows_held():
+    rng = np.random.default_rng(4)
+    ids, count = rng.integers(-3, 3, (500, 3)), rng.integers(1, 9, 500)
+    want = Counter()
+    for row, n in zip(ids.tolist(), count.tolist()):
+        want[tuple(row)] += n
+    steps = [0, 10, 10, 110, 120, 130, 400, 410, 500]
+    for most in (1, 50, 300, 5000):
+        got, rows = Counter(), 0
+        for grams, sums in phrases.combined(iter([(ids[a:b], count[a:b]) for a, b in zip(steps, steps[1:])]), most):
+            rows += len(sums)
+            for row, n in zip(grams.tolist(), sums.tolist()):
+                got[tuple(row)] += n
+        assert got == want and (rows == len(want) if most == 5000 else rows > len(want))
+    assert list(phrases.combined(iter([]), 50)) == []
+    assert [len(x) for _, x in phrases.combined(iter([(ids[:0], count[:0])]), 50)] == [0]
+
+
 def test_score_is_exact_beyond_64_bits(spark):
     a, l, r = 9_000_000_000_000_000_001, 9_000_000_000_000_000_010, 9_100_000_000_000_000_000
     row = spark.createDataFrame([(a, l, r)], "a long, l long, r long")

@@ -6,7 +6,7 @@ four words only: deeper order is never asked for. An n-gram is an interval in ea
 extending it by a word to the left is one rank query in the forward transform, which also says how far
 the interval in the backward one moves, and the same the other way round. A shard thus enumerates its
 words, then their left extensions, then the right extensions of these, then the left ones of those, each with
-its count, and Spark adds up the counts of all shards.
+its count. A task adds up the counts of its shards, some rows at a time, and Spark those of all tasks.
 
 Before the next depth an n-gram must be frequent over all shards, and so must both n-grams inside it.
 Shards learn which are from a Bloom filter of bounded size made of the summed counts. A false
@@ -35,6 +35,8 @@ LOWER = bytes(ord(".") if b in ENDS else 32 if b == 9 else b + 32 if 65 <= b <=
 DEPTH = 4
 TEXT_STEP = 1 << 20
 STEP_ROWS = 1 << 19
+HELD_ROWS = 1 << 19
+TASK_SHARDS = 12
 FILTER_BITS = 1 << 29  # at most 64 MB
 U64 = np.uint64
 
@@ -331,40 +333,83 @@ def names_of(depth: int) -> list[str]:
     return [f"w{i}" for i in range(1, depth + 1)]
 
 
-def enumerated(index: DataFrame, depth: int, filters: list[Filter]) -> DataFrame:
+def added_up(ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row for each n-gram, with the sum of its counts, in order of their ids."""
+    at = np.lexsort(ids.T[::-1])
+    ids, count = ids[at], count[at]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]).any(axis=1)
+    starts = np.flatnonzero(new)
+    return ids[starts], np.add.reduceat(count, starts) if len(starts) else count
+
+
+def combined(parts: Iterator[tuple[np.ndarray, ...]], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """N-grams and counts of many shards with those of the same n-gram added up. About `most` rows are
+    held; when adding up leaves more than half of that, they are given out. A shard with over a quarter
+    of that goes by, since few of so many n-grams come again."""
+    held, rows = [], 0
+    for part in parts:
+        if len(part[1]) > most // 4:
+            yield part
+            continue
+        held.append(part)
+        rows += len(part[1])
+        if rows >= most:
+            held = [added_up(*map(np.concatenate, zip(*held)))]
+            rows = len(held[0][1])
+            if rows > most // 2:
+                yield held.pop()
+                rows = 0
+    if held:
+        yield added_up(*map(np.concatenate, zip(*held)))
+
+
+def gathered(index: DataFrame, least: int = TASK_SHARDS) -> DataFrame:
+    """The index in fewer tasks where Spark's splits are small: a task has `least` shards on average,
+    and every core two tasks."""
+    most = max(-(-index.count() // least), 2 * index.sparkSession.sparkContext.defaultParallelism)
+    return index.coalesce(most) if most < index.rdd.getNumPartitions() else index
+
+
+def enumerated(index: DataFrame, depth: int, filters: list[Filter], held_rows: int = HELD_ROWS) -> DataFrame:
     """`(w1 .. wk, a)`: the n-grams of `depth` words of each shard whose parts pass the filters, with
-    their count there. Each shard is worked on alone, from its stored row."""
+    their count there. Each shard is worked on alone, from its stored row. A task adds up the counts of
+    its shards, within `held_rows`, so that an n-gram comes once from a task and not from every shard."""
     spark, names = index.sparkSession, names_of(depth)
     shared = [spark.sparkContext.broadcast(f) for f in filters]
 
+    def of_shard(b: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.concatenate([[0], b.column(0)[row].values.to_numpy()])
+        n = b.column(3)[row].as_py()
+        forward, backward = (unpacked(b.column(i)[row].as_py(), n) for i in (1, 2))
+        fm = Index(forward, backward, len(ids))
+        known = lambda grams, k: shared[k - 1].value.holds(ids[grams])
+        nodes = fm.words()
+        nodes = nodes.keep(known(nodes.grams, 1).astype(bool))
+        for k in range(2, depth + 1):
+            right = bool(k % 2)
+
+            def wanted(grams: np.ndarray, k: int = k, right: bool = right) -> np.ndarray:
+                # The n-gram that was extended is frequent; the other one inside is tested too.
+                out = known(grams[:, 1:] if right else grams[:, :-1], k - 1).astype(bool)
+                if k < depth:
+                    out[out] = known(grams[out], k)
+                return out
+
+            nodes = fm.extended(nodes, right, wanted)
+        return ids[nodes.grams], nodes.count.astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in range(b.num_rows):
-                ids = np.concatenate([[0], b.column(0)[row].values.to_numpy()])
-                n = b.column(3)[row].as_py()
-                forward, backward = (unpacked(b.column(i)[row].as_py(), n) for i in (1, 2))
-                fm = Index(forward, backward, len(ids))
-                known = lambda grams, k: shared[k - 1].value.holds(ids[grams])
-                nodes = fm.words()
-                nodes = nodes.keep(known(nodes.grams, 1).astype(bool))
-                for k in range(2, depth + 1):
-                    right = bool(k % 2)
-
-                    def wanted(grams: np.ndarray, k: int = k, right: bool = right) -> np.ndarray:
-                        # The n-gram that was extended is frequent; the other one inside is tested too.
-                        out = known(grams[:, 1:] if right else grams[:, :-1], k - 1).astype(bool)
-                        if k < depth:
-                            out[out] = known(grams[out], k)
-                        return out
-
-                    nodes = fm.extended(nodes, right, wanted)
-                for at in range(0, len(nodes.count), 1 << 17):
-                    some = ids[nodes.grams[at : at + (1 << 17)]]
-                    columns = [pa.array(np.ascontiguousarray(some[:, i])) for i in range(depth)]
-                    count = pa.array(nodes.count[at : at + (1 << 17)].astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([*columns, count], [*names, "a"])
+        shards = (of_shard(b, row) for b in batches for row in range(b.num_rows))
+        for ids, count in combined(shards, held_rows):
+            for at in range(0, len(count), 1 << 17):
+                some = slice(at, at + (1 << 17))
+                columns = [pa.array(np.ascontiguousarray(ids[some, i])) for i in range(depth)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(count[some])], [*names, "a"])
 
     ddl = ", ".join(f"{c} long" for c in [*names, "a"])
+    # Pairs and triples fill a task's sums from few shards; only longer n-grams are few enough to wait for more.
+    index = gathered(index) if depth > 3 else index
     # An index row is large: few of them make a batch.
     return index.select("ids", "forward", "backward", "size").mapInArrow(run, ddl)
 
