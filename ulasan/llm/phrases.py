@@ -18,13 +18,14 @@ from __future__ import annotations
 import itertools
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ulasan.session import stored
@@ -34,8 +35,10 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 LOWER = bytes(ord(".") if b in ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 DEPTH = 4
 TEXT_STEP = 1 << 20
-STEP_ROWS = 1 << 19
+STEP_ROWS = 1 << 18
 HELD_ROWS = 1 << 19
+OPEN_SHARDS = 3
+BATCH_BYTES = 1 << 22
 TASK_SHARDS = 12
 FILTER_BITS = 1 << 29  # at most 64 MB
 U64 = np.uint64
@@ -46,6 +49,19 @@ INDEX = (
 )
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """What runs inside gets its rows in Arrow batches of about `most` bytes (and one row) at most. A batch
+    of Spark's own 64 MB is held in full by the JVM and by Python, for each core."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 # --- the index of one shard ---------------------------------------------------
 
 
@@ -53,19 +69,28 @@ def places(keys: np.ndarray) -> np.ndarray:
     """Positions in order of their keys, which are at least zero; equal keys in order of position."""
     n = len(keys)
     if n and int(keys.max()) < (1 << 62) // n:
-        return np.sort(keys * n + np.arange(n)) % n
+        keys = keys * n
+        keys += np.arange(n)
+        keys.sort()
+        keys %= n
+        return keys
     return np.argsort(keys, kind="stable")
 
 
 def transform(ids: np.ndarray, size: int) -> np.ndarray:
     """The Burrows-Wheeler transform of ids below `size`, read as a circle and sorted by four ids."""
-    keys = ids.astype(np.int64) * size + np.roll(ids, -1)
+    keys = ids.astype(np.int64)
+    keys *= size
+    keys += np.roll(ids, -1)
     at = places(keys)
-    new = np.concatenate([[0], np.cumsum(np.diff(keys[at]) != 0)])
-    pair = np.empty(len(ids), np.int64)
-    pair[at] = new
-    at = places(pair * (int(new[-1]) + 1) + np.roll(pair, -2))
-    return ids[at - 1]
+    keys = keys[at]
+    pair = np.empty(len(ids), np.int32)
+    pair[at] = np.cumsum(np.append(False, keys[1:] != keys[:-1]), dtype=np.int32)
+    del at
+    keys = pair.astype(np.int64)
+    keys *= int(pair.max()) + 1
+    keys += np.roll(pair, -2)
+    return ids[places(keys) - 1]
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -202,10 +227,12 @@ class Shards:
             ids = ids[cut - 1 :]
 
     def _row(self, ids: np.ndarray, names: list[bytes]) -> Iterator[tuple]:
-        used, ids, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        counts = np.bincount(ids, minlength=len(names))
+        used = np.flatnonzero(counts)
         if len(used) < 2:
             return
-        words = [names[i] for i in used[1:]]
+        ids = (np.cumsum(counts > 0, dtype=np.int32) - 1)[ids]
+        counts, words = counts[used], [names[i] for i in used[1:]]
         salt = self.lang.encode() + b"\0"
         keys = [xxhash.xxh64_intdigest(salt + w, self.seed) & self.mask for w in words]
         size = len(used)
@@ -244,7 +271,7 @@ def build(docs: DataFrame, shard_words: int, seed: int, hash_bits: int = 64) ->
                 open_[lang].add(text.as_py())
                 if open_[lang].full():
                     yield from closed(open_[lang])
-                elif len(open_) > 64:
+                elif len(open_) > 64 or sum(x.held for x in open_.values()) > OPEN_SHARDS * shard_words:
                     # Many languages in one task: the fullest is closed, so that memory stays bounded.
                     fullest = max(open_, key=lambda x: open_[x].held)
                     yield from closed(open_.pop(fullest))
@@ -336,11 +363,20 @@ def names_of(depth: int) -> list[str]:
 def added_up(ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One row for each n-gram, with the sum of its counts, in order of their ids."""
     at = np.lexsort(ids.T[::-1])
-    ids, count = ids[at], count[at]
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]).any(axis=1)
+    new = np.zeros(len(ids), bool)
+    new[:1] = True
+    for word in ids.T:
+        word = word[at]
+        new[1:] |= word[1:] != word[:-1]
     starts = np.flatnonzero(new)
-    return ids[starts], np.add.reduceat(count, starts) if len(starts) else count
+    return ids[at[starts]], np.add.reduceat(count[at], starts) if len(starts) else count
+
+
+def summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """What is held added up; the list is emptied before, so that its rows are not there twice."""
+    ids, count = map(np.concatenate, zip(*held))
+    held.clear()
+    return added_up(ids, count)
 
 
 def combined(parts: Iterator[tuple[np.ndarray, ...]], most: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -355,13 +391,13 @@ def combined(parts: Iterator[tuple[np.ndarray, ...]], most: int) -> Iterator[tup
         held.append(part)
         rows += len(part[1])
         if rows >= most:
-            held = [added_up(*map(np.concatenate, zip(*held)))]
+            held = [summed(held)]
             rows = len(held[0][1])
             if rows > most // 2:
                 yield held.pop()
                 rows = 0
     if held:
-        yield added_up(*map(np.concatenate, zip(*held)))
+        yield summed(held)
 
 
 def gathered(index: DataFrame, least: int = TASK_SHARDS) -> DataFrame:
@@ -371,6 +407,13 @@ def gathered(index: DataFrame, least: int = TASK_SHARDS) -> DataFrame:
     return index.coalesce(most) if most < index.rdd.getNumPartitions() else index
 
 
+def counted(found: DataFrame, depth: int) -> DataFrame:
+    """The sums of what all tasks have found. Rows are dealt out by n-gram before Spark adds them up: tasks
+    have added up their own, so a sum ahead of the shuffle would hold each task's rows and merge few."""
+    names = names_of(depth)
+    return found.repartition(*names).groupBy(*names).agg(F.sum("a").alias("a"))
+
+
 def enumerated(index: DataFrame, depth: int, filters: list[Filter], held_rows: int = HELD_ROWS) -> DataFrame:
     """`(w1 .. wk, a)`: the n-grams of `depth` words of each shard whose parts pass the filters, with
     their count there. Each shard is worked on alone, from its stored row. A task adds up the counts of
@@ -406,11 +449,11 @@ def enumerated(index: DataFrame, depth: int, filters: list[Filter], held_rows: i
                 some = slice(at, at + (1 << 17))
                 columns = [pa.array(np.ascontiguousarray(ids[some, i])) for i in range(depth)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(count[some])], [*names, "a"])
+            del ids, count  # not held while the next shard is worked on
 
     ddl = ", ".join(f"{c} long" for c in [*names, "a"])
     # Pairs and triples fill a task's sums from few shards; only longer n-grams are few enough to wait for more.
     index = gathered(index) if depth > 3 else index
-    # An index row is large: few of them make a batch.
     return index.select("ids", "forward", "backward", "size").mapInArrow(run, ddl)
 
 
@@ -430,7 +473,8 @@ def indexed(
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
     )
     for seed in itertools.count():
-        index = stored(build(rows, shard_words, seed, hash_bits), "phrase-index")
+        with small_batches(docs.sparkSession):
+            index = stored(build(rows, shard_words, seed, hash_bits), "phrase-index")
         each = index.select("lang", F.explode(F.arrays_zip("ids", "words", "counts")).alias("x"))
         words = each.groupBy(F.col("x.ids").alias("w1"), "lang", F.col("x.words").cast("string").alias("word")).agg(
             F.sum("x.counts").alias("a")
@@ -459,8 +503,9 @@ def frequent_phrases(
     filters: list[Filter] = []
     for depth in range(2, longest + 1):
         filters.append(filter_of(tables[-1], names_of(depth - 1), filter_bits))
-        counts = enumerated(index, depth, filters).groupBy(*names_of(depth)).agg(F.sum("a").alias("a"))
-        tables.append(stored(counts.where(F.col("a") >= least), f"frequent-{depth}"))
+        counts = counted(enumerated(index, depth, filters), depth)
+        with small_batches(docs.sparkSession):
+            tables.append(stored(counts.where(F.col("a") >= least), f"frequent-{depth}"))
     return tables, index.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
