@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,22 @@ def test_stream_restarts_where_it_stopped(spark, run):
     assert step(10, ["jelek rusak"]) == {0: "Positive", 10: "Negative"}
 
 
+@pytest.mark.parametrize("parts", [0, 3])
+def test_streams_read_a_table_that_is_a_file_or_a_folder(spark, parts):
+    """`documents.parquet` may be one file or a folder of part files; both give every row."""
+    from __spark_entry__ import queries
+
+    at = scratch_path(spark, "tables")
+    docs = texts(spark, [f"Toko nomor {x} bagus" for x in "abcdefgh"]).toDF("doc_id", "text")
+    if parts:
+        docs.repartition(parts).write.parquet(f"{at}/documents.parquet")
+    else:
+        os.makedirs(at)
+        docs.toPandas().to_parquet(f"{at}/documents.parquet")
+    got = queries()["st1_stream_clean"](spark, at).collect()
+    assert {r["row_index"]: r["review_clean"] for r in got} == {i: f"toko nomor {x} bagus" for i, x in enumerate("abcdefgh")}
+
+
 def test_entry_and_registry_agree(spark):
     import __spark_entry__ as entry
 

@@ -503,7 +503,7 @@ def a19(spark, sf):
 def _document_stream(spark, sf):
     schema = src.table(spark, sf, "documents").schema
     cores = spark.sparkContext.defaultParallelism
-    docs = st.read_texts(spark, sf, schema, "documents.parquet", spread_to=cores)
+    docs = st.read_dataset(spark, f"{sf}/documents.parquet", schema, spread_to=cores)
     return docs.select(F.col("doc_id").alias("row_index"), F.col("text").alias("review"))
 
 

@@ -33,6 +33,15 @@ def read_texts(
     return texts.repartition(spread_to) if spread_to else texts
 
 
+def read_dataset(spark: SparkSession, path: str, schema: StructType, spread_to: int | None = None) -> DataFrame:
+    """One Parquet dataset as a stream: all files of a folder, whatever their names, or a single file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return read_texts(spark, path, schema, "*", spread_to=spread_to)
+    folder, _, name = path.rpartition("/")
+    return read_texts(spark, folder or ".", schema, name, spread_to=spread_to)
+
+
 def clean_stream(texts: DataFrame, rules: CleanRules = CleanRules(), min_chars: int = 3) -> DataFrame:
     """Cleaned texts long enough to be scored."""
     flagged = prepare.flag_rejects(prepare.with_clean(texts, rules), min_chars)
