@@ -119,6 +119,17 @@ def test_streams_read_a_table_that_is_a_file_or_a_folder(spark, parts):
     assert {r["row_index"]: r["review_clean"] for r in got} == {i: f"toko nomor {x} bagus" for i, x in enumerate("abcdefgh")}
 
 
+def test_a_folder_is_scored_as_a_stream_like_a_batch(spark, run):
+    at, out = scratch_path(spark, "tables"), scratch_path(spark, "out")
+    df = texts(spark, ["bagus puas", "jelek rusak", "1", "murah ramah"])
+    df.repartition(2).write.parquet(f"{at}/documents.parquet")
+    stream = st.score_stream(run, st.read_dataset(spark, f"{at}/documents.parquet", df.schema))
+    st.write_stream(stream, out, scratch_path(spark, "progress")).awaitTermination()
+    key = ["row_index", "prediction", "confidence"]
+    want = jobs.score(run, df)[0].select(*key).orderBy("row_index").collect()
+    assert len(want) == 3 and spark.read.parquet(out).select(*key).orderBy("row_index").collect() == want
+
+
 def test_entry_and_registry_agree(spark):
     import __spark_entry__ as entry
 
