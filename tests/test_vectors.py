@@ -1,3 +1,6 @@
+import os
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,6 +8,7 @@ from pyspark.sql import functions as F
 from ulasan.functions import vector as vf
 from ulasan.operators import kernels
 from ulasan.operators import vectors as vx
+from ulasan.session import checkpoint_root
 from ulasan.settings import IndexParams
 
 BLOCKS = IndexParams(max_query_rows=40)
@@ -230,3 +234,56 @@ def test_rows_without_a_vector_take_no_part(spark, params):
     queries = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
     rows = vx.search(index, queries, 30, params).collect()
     assert len(rows) == 400 and 99 not in {r["vec_id"] for r in rows} | {r["query_id"] for r in rows}
+
+
+def nearest_by_hand(u, k):
+    sims = np.round(u @ u.T, 12)
+    return {(i, n + 1, int(j)) for i in range(len(u)) for n, j in enumerate(np.lexsort((np.arange(len(u)), -sims[i]))[:k])}
+
+
+def test_many_queries_meet_the_index_without_copies_of_either(spark, monkeypatch):
+    """Blocks are met where they are stored: neither side is dealt to cells once for each part of the other."""
+    monkeypatch.setattr(vx, "BLOCK_ROWS", 9)
+    v = clustered(150, 16)
+    v[100:130], v[140] = v[7], 0
+    index = vx.build_index(frame(spark, v))
+    asked = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    hits = vx.search(index, asked, 5, IndexParams(max_query_rows=4, max_broadcast_bytes=1000))
+    assert "CoGroups" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in hits.collect()} == nearest_by_hand(stored_unit(v), 5)
+
+
+def test_packed_blocks_are_deleted_when_they_have_been_met(spark):
+    index = vx.build_index(frame(spark, clustered(60)))
+    asked = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    for params in (IndexParams(), IndexParams(max_query_rows=4, max_broadcast_bytes=1000)):
+        before = set(os.listdir(checkpoint_root(spark)))
+        assert vx.search(index, asked, 3, params).count() == 180
+        left = {x.split("-")[0] for x in set(os.listdir(checkpoint_root(spark))) - before}
+        assert left <= {"hits"}
+
+
+def test_pairs_hold_a_tile_of_products_however_long_a_side_is():
+    rng = np.random.default_rng(2)
+    a, b = unit(rng.normal(size=(600, 8))), unit(rng.normal(size=(60_000, 8)))
+    tracemalloc.start()
+    found = sum(len(x[0]) for x in kernels.pairs_above(np.arange(600), a, np.arange(1000, 61_000), b, False, 0.999))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == np.count_nonzero(a @ b.T > 0.999) and peak < 100e6
+
+
+def test_pairs_close_to_the_threshold_are_decided_in_double_precision():
+    t = 0.9
+    turned = [np.array([t + e, np.sqrt(1 - (t + e) ** 2), 0, 0]) for e in (-1e-9, 1e-9)]
+    right = unit(np.array(turned))
+    got = [x for i, j, _ in kernels.pairs_above(np.array([0]), np.eye(4)[:1], np.array([5, 6]), right, False, t) for x in j]
+    assert got == [6]
+
+
+def test_copies_of_a_hot_vector_are_linked_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(vx, "HOT", 20)
+    v = clustered(200)
+    v[50:110], v[150:155] = v[5], v[3]
+    got = vx.near_duplicates(vx.build_index(frame(spark, v)), 0.95).collect()
+    assert {(r["i"], r["j"]) for r in got} == pairs_by_hand(v, 0.95) and len(got) == len(pairs_by_hand(v, 0.95))
