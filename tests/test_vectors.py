@@ -281,6 +281,23 @@ def test_pairs_close_to_the_threshold_are_decided_in_double_precision():
     assert got == [6]
 
 
+@pytest.mark.parametrize("twice", [False, True])
+def test_knn10_searches_equal_vectors_once(spark, monkeypatch, twice):
+    v = clustered(120, 6)
+    v[60:] = v[:60]  # a copy of each
+    rows = frame(spark, v)
+    if twice:  # one id for two vectors, and a row that comes twice
+        rows = rows.unionByName(frame(spark, [v[5], v[3]], [0, 3]))
+    index, seen, search = vx.build_index(rows), [], vx.search
+    monkeypatch.setattr(vx, "search", lambda x, q, *a, **b: (seen.append(x.count()), search(x, q, *a, **b))[1])
+    got = vx.near_duplicates(index, 0.9, mode="knn10")
+    assert twice or seen == [60]
+    monkeypatch.undo()
+    asked = index.select(F.col("vec_id").alias("query_id"), F.col("unit_vec").alias("query_vec"))
+    want = vx.search(index, asked, 10).where("rank > 1 and similarity > 0.9 and query_id < vec_id")
+    assert sorted((r["i"], r["j"]) for r in got.collect()) == sorted((r["query_id"], r["vec_id"]) for r in want.collect())
+
+
 def test_copies_of_a_hot_vector_are_linked_in_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(vx, "HOT", 20)
     v = clustered(200)
