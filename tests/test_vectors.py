@@ -281,6 +281,12 @@ def test_pairs_close_to_the_threshold_are_decided_in_double_precision():
     assert got == [6]
 
 
+def test_candidates_of_the_bands_are_tested_in_blocks(spark):
+    """Not element by element in expressions of the plan."""
+    plan = vx.near_duplicates(vx.build_index(frame(spark, clustered(200))), 0.95, mode="banded")
+    assert "zip_with" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("twice", [False, True])
 def test_knn10_searches_equal_vectors_once(spark, monkeypatch, twice):
     v = clustered(120, 6)
