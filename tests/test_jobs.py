@@ -72,6 +72,11 @@ def test_saved_run_scores_alike(spark, run):
     assert back.rules == run.rules and back.index.count() == run.index.count()
 
 
+def test_training_stores_its_texts_once(run):
+    """The index reads the prepared rows with their token counts; there is no copy of its own."""
+    assert {x.rsplit("/", 2)[1].rsplit("-", 1)[0] for x in run.index.inputFiles()} == {"token-counts"}
+
+
 def test_bad_input_stops_the_job(spark, reviews):
     with pytest.raises(ValueError):
         jobs.train_job(reviews.withColumn("sentimen", F.lit(3)))
